@@ -1,3 +1,11 @@
 """wattloom: household sensor and appliance analytics on PySpark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Small helpers that run inside tasks travel with the job, so executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,7 @@ full table, which then needs no shuffle at all.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,17 +40,19 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "row_id") -> Data
             .drop("_task", "_start", "_slot"))
 
 
-def cut_rows(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> dict[int, tuple]:
-    """Order keys of the rows at the given positions (a handful of rows).
+def cut_rows(df: DataFrame, order: Sequence[str],
+             positions: Callable[[int], Sequence[int]]) -> tuple[int, dict[int, tuple]]:
+    """(row count, order keys of the rows at `positions(row count)`, a handful).
 
-    Only the order columns are shuffled.
+    Only the order columns are read and shuffled, once.
     """
-    wanted = sorted({p for p in positions if p >= 0})
+    indexed = row_index(df.select(*order), order)
+    n = indexed.count()
+    wanted = sorted({p for p in positions(n) if 0 <= p < n})
     if not wanted:
-        return {}
-    rows = (row_index(df.select(*order), order)
-            .where(F.col("row_id").isin(wanted)).collect())
-    return {r["row_id"]: tuple(r[c] for c in order) for r in rows}
+        return n, {}
+    rows = indexed.where(F.col("row_id").isin(wanted)).collect()
+    return n, {r["row_id"]: tuple(r[c] for c in order) for r in rows}
 
 
 def sorts_before(df: DataFrame, order: Sequence[str], cut: tuple) -> Column:
@@ -71,25 +73,26 @@ def fold_starts(n: int, folds: int = FOLDS) -> list[int]:
     return [sum(sizes[:i]) for i in range(folds)]
 
 
+def _steps(df: DataFrame, order: Sequence[str], positions: Sequence[int],
+           cuts: dict[int, tuple]) -> Column:
+    """How many of the positions lie at or before the row."""
+    passed = [(~sorts_before(df, order, cuts[p])).cast("int") for p in positions if p in cuts]
+    return reduce(lambda a, b: a + b, passed, F.lit(0))
+
+
 def temporal_split(df: DataFrame, order: Sequence[str], test_ratio: float = TEST_RATIO,
                    name: str = "split") -> DataFrame:
     """Tag the earliest rows 'train' and the rest 'test'; never a random split."""
-    n = df.count()
-    cut = split_position(n, test_ratio)
-    at = cut_rows(df, order, [cut]).get(cut)
-    tag = F.lit("train") if at is None else F.when(
-        sorts_before(df, order, at), "train").otherwise("test")
-    return df.withColumn(name, tag)
+    n, cuts = cut_rows(df, order, lambda n: [split_position(n, test_ratio)])
+    late = _steps(df, order, [split_position(n, test_ratio)], cuts)
+    return df.withColumn(name, F.when(late == 0, "train").otherwise("test"))
 
 
 def contiguous_folds(df: DataFrame, order: Sequence[str], folds: int = FOLDS,
                      name: str = "fold") -> DataFrame:
     """Tag unshuffled, contiguous blocks 0..folds-1."""
-    n = df.count()
-    starts = fold_starts(n, folds)
-    cuts = cut_rows(df, order, starts[1:])
-    later = [(~sorts_before(df, order, cuts[p])).cast("int") for p in starts[1:] if p in cuts]
-    return df.withColumn(name, reduce(lambda a, b: a + b, later, F.lit(0)))
+    n, cuts = cut_rows(df, order, lambda n: fold_starts(n, folds)[1:])
+    return df.withColumn(name, _steps(df, order, fold_starts(n, folds)[1:], cuts))
 
 
 def prefix_rank(df: DataFrame, order: Sequence[str], fractions: Sequence[float],
@@ -99,19 +102,15 @@ def prefix_rank(df: DataFrame, order: Sequence[str], fractions: Sequence[float],
     A row with tag p belongs to every prefix whose index is at least p; rows outside
     all prefixes get len(fractions). Returns the table and the prefix sizes.
     """
-    n = df.count()
+    n, cuts = cut_rows(df, order, lambda n: [int(n * f) for f in fractions])
     sizes = [int(n * f) for f in fractions]
-    cuts = cut_rows(df, order, sizes)
-    later = [(~sorts_before(df, order, cuts[p])).cast("int") for p in sizes if p in cuts]
-    return df.withColumn(name, reduce(lambda a, b: a + b, later, F.lit(0))), sizes
+    return df.withColumn(name, _steps(df, order, sizes, cuts)), sizes
 
 
 def prefix_rows(df: DataFrame, order: Sequence[str], fraction: float) -> DataFrame:
     """The first floor(n * fraction) rows of the order."""
-    n = df.count()
-    size = int(n * fraction)
-    at = cut_rows(df, order, [size]).get(size)
-    return df if at is None else df.where(sorts_before(df, order, at))
+    tagged, _ = prefix_rank(df, order, [fraction], "_prefix")
+    return tagged.where("_prefix = 0").drop("_prefix")
 
 
 def sorted_rows(df: DataFrame, *order: str | Column) -> DataFrame:
