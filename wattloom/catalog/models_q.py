@@ -491,10 +491,12 @@ def m16(spark, sf):
 
 
 @query("m15_feature_power", with_(_PERM_CTE + f""",
-other AS (SELECT t.row_id, p.g, t.y, t.x1, t.x2, o.x1 AS o1, q2.x2 AS o2 FROM reg t
-  JOIN perm p ON p.j = 0 JOIN perm q ON q.j = 1 AND q.g = p.g
-  JOIN reg o ON o.row_id = (t.row_id * p.a + p.b) % p.n
-  JOIN reg q2 ON q2.row_id = (t.row_id * q.a + q.b) % q.n),
+asked AS MATERIALIZED (SELECT p.g, t.y, t.x1, t.x2, (t.row_id * p.a + p.b) % p.n AS i1,
+    (t.row_id * q.a + q.b) % q.n AS i2
+  FROM reg t, perm p JOIN perm q ON q.g = p.g WHERE p.j = 0 AND q.j = 1),
+vals AS MATERIALIZED (SELECT row_id, x1, x2 FROM reg),
+other AS (SELECT g, y, a.x1, a.x2, o.x1 AS o1, u.x2 AS o2 FROM asked a
+  JOIN vals o ON o.row_id = i1 JOIN vals u ON u.row_id = i2),
 raw AS (SELECT 'price' AS feature, g, any_value(mae) AS mae,
     avg(abs(y - {_pred("o1", "x2")})) AS w, avg(abs(y - {_pred("x1", "o2")})) AS o
     FROM other, base GROUP BY g

@@ -97,7 +97,7 @@ def s05(spark, sf):
         F.count(F.lit(1)).alias("n"), r6(F.sum("value"), "total", 4))
 
 
-_FEATURE_SUMS = ", ".join(f"round(sum({c}), 3) + 0 AS {c}" for c in features.FEATURES)
+_FEATURE_SUMS = ", ".join(f"round(sum({c})::DOUBLE, 3) + 0 AS {c}" for c in features.FEATURES)
 
 
 @query("s06_load_features", with_(FEATURES_CTE, f"""
