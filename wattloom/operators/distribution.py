@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from wattloom.functions.columns import half_even
 from wattloom.session import durable
 
-CHUNKS = 64
+CHUNK_ROWS = 500_000   # aimed-at distinct values per chunk, one sorted run of a task
+CHUNK_RANGE = (8, 2048)
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str,
@@ -35,19 +36,23 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str,
 def _chunk_bounds(counted: DataFrame, by: Sequence[str], chunks: int) -> list[float]:
     """Sorted chunk bounds pooled over the groups (at most chunks * groups numbers)."""
     shares = [i / chunks for i in range(1, chunks)]
-    per_group = counted.groupBy(*by).agg(F.percentile_approx("value", shares, 1000).alias("cuts"))
+    per_group = counted.groupBy(*by).agg(
+        F.percentile_approx("value", shares, 20 * chunks).alias("cuts"))
     rows = per_group.select(F.explode("cuts").alias("cut")).distinct().collect()
     return sorted(r["cut"] for r in rows)
 
 
 def cumulative_counts(counted: DataFrame, by: Sequence[str], counts: Sequence[str],
-                      chunks: int = CHUNKS) -> DataFrame:
+                      chunks: int | None = None) -> DataFrame:
     """Add `cum_<name>` (rows with a value <= this one) and `all_<name>` per group.
 
     The counts are read three times (bounds, running sums, chunk sums), so they are
     checkpointed first: the aggregation below them runs once.
     """
     counted = durable(counted)
+    if chunks is None:
+        low, high = CHUNK_RANGE
+        chunks = min(high, max(low, counted.count() // CHUNK_ROWS))
     bounds = _chunk_bounds(counted, by, chunks)
     splits = [float("-inf"), *[b for b in bounds if abs(b) != float("inf")], float("inf")]
     chunked = Bucketizer(splits=splits, inputCol="value", outputCol="_chunk",

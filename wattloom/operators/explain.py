@@ -97,9 +97,11 @@ def hashed_partners(df: DataFrame, features: Sequence[str], repeats: int, seed:
 def _variants(df: DataFrame, features: Sequence[str], y: str, others: DataFrame,
               key: str, kinds: Sequence[str]) -> DataFrame:
     """Rows of every variant: `without` replaces one feature by the partner's value,
-    `only` keeps one feature and replaces all others."""
+    `only` keeps one feature and replaces all others. The unshuffled prediction
+    `_base` travels along, so that errors are compared row by row: a feature that the
+    model ignores then scores exactly zero."""
     own = F.array(*[F.col(c).cast("double") for c in features])
-    base = df.select(key, F.col(y).alias("y"), own.alias("own"))
+    base = df.select(key, F.col(y).alias("y"), "_base", own.alias("own"))
     made = []
     for j in range(len(features)):
         for kind in kinds:
@@ -108,8 +110,9 @@ def _variants(df: DataFrame, features: Sequence[str], y: str, others: DataFrame,
             made.append(F.struct(
                 F.lit(j).alias("pos"), F.lit(kind).alias("kind"),
                 *[F.col(s)[i].alias(c) for i, (s, c) in enumerate(zip(source, features))]))
-    rows = base.join(others, key).select("y", "repeat", F.explode(F.array(*made)).alias("v"))
-    return rows.select("y", "repeat", "v.*")
+    rows = base.join(others, key).select("y", "_base", "repeat",
+                                         F.explode(F.array(*made)).alias("v"))
+    return rows.select("y", "_base", "repeat", "v.*")
 
 
 def _feature_name(pos: str, features: Sequence[str]) -> Column:
@@ -124,18 +127,13 @@ def permutation_importance(df: DataFrame, features: Sequence[str], y: str, predi
     n = df.count() if n is None else n
     others = (partners(df, features, n, repeats, seed, key=key) if mode == "affine"
               else hashed_partners(df, features, repeats, seed, key))
-    rows = predict(_variants(df, features, y, others, key, ["without"]), "_pred")
-    e = F.col("y") - F.col("_pred")
-    plain = predict(df.select(*features, F.col(y).alias("y")), "_pred")
-    base = plain.agg(F.sum(e * e).alias("sse"),
-                     (F.var_pop("y") * F.count(F.lit(1))).alias("spread")).first()
-    sse, spread = base["sse"], base["spread"]
-    if not spread:
-        spread = float("nan")
-    # base R2 - shuffled R2, both over the same rows
-    return rows.groupBy("pos", "repeat").agg(F.sum(e * e).alias("_sse")).select(
-        F.lit(model).alias("model"), F.col("pos"), _feature_name("pos", features).alias("feature"),
-        "repeat", ((F.col("_sse") - F.lit(sse)) / F.lit(spread)).alias("importance"))
+    rows = predict(_variants(predict(df, "_base"), features, y, others, key, ["without"]), "_pred")
+    shuffled, plain = F.col("y") - F.col("_pred"), F.col("y") - F.col("_base")
+    spread = F.var_pop("y") * F.count(F.lit(1))  # every group holds all rows
+    return rows.groupBy("pos", "repeat").agg(
+        F.sum(shuffled * shuffled - plain * plain).alias("_more"), spread.alias("_spread")).select(
+        F.lit(model).alias("model"), "pos", _feature_name("pos", features).alias("feature"),
+        "repeat", (F.col("_more") / F.nullif(F.col("_spread"), F.lit(0.0))).alias("importance"))
 
 
 def importance_summary(raw: DataFrame) -> DataFrame:
@@ -173,20 +171,19 @@ def decompose_features(df: DataFrame, features: Sequence[str], y: str, predict:
     with all others shuffled (power), and what remains (interaction)."""
     n = df.count() if n is None else n
     others = partners(df, features, n, repeats, seed, independent=True, key=key)
-    rows = predict(_variants(df, features, y, others, key, ["without", "only"]), "_pred")
-    e = F.abs(F.col("y") - F.col("_pred"))
-    base = predict(df.select(*features, F.col(y).alias("y")), "_pred").agg(
-        F.avg(e).alias("mae")).first()["mae"]
-    if base is None:
-        base = 0.0
+    rows = predict(_variants(predict(df, "_base"), features, y, others, key,
+                             ["without", "only"]), "_pred")
+    plain = F.abs(F.col("y") - F.col("_base"))
+    more = F.abs(F.col("y") - F.col("_pred")) - plain
+    without = F.col("kind") == "without"
     maes = rows.groupBy("pos", "repeat").agg(
-        F.avg(F.when(F.col("kind") == "without", e)).alias("_without"),
-        F.avg(F.when(F.col("kind") == "only", e)).alias("_only"))
-    total, power = F.col("_without") - F.lit(base), F.abs(F.lit(base) - F.col("_only"))
+        F.avg(F.when(without, plain)).alias("base_mae"),
+        F.avg(F.when(without, more)).alias("total"),
+        F.abs(F.avg(F.when(~without, more))).alias("power"))
     return maes.select(
         F.lit(model).alias("model"), "pos", _feature_name("pos", features).alias("feature"),
-        "repeat", F.lit(base).alias("base_mae"), total.alias("total"), power.alias("power"),
-        F.greatest(F.lit(0.0), total - power).alias("interaction"))
+        "repeat", "base_mae", "total", "power",
+        F.greatest(F.lit(0.0), F.col("total") - F.col("power")).alias("interaction"))
 
 
 def decomposition_summary(raw: DataFrame) -> DataFrame:
@@ -195,7 +192,7 @@ def decomposition_summary(raw: DataFrame) -> DataFrame:
     for name, c in (("total_importance", "total"), ("feature_power", "power"),
                     ("interaction_power", "interaction")):
         aggs += [F.avg(c).alias(f"{name}_mean"), F.stddev_pop(c).alias(f"{name}_std")]
-    out = raw.groupBy("model", "pos", "feature").agg(F.first("base_mae").alias("base_mae"), *aggs)
+    out = raw.groupBy("model", "pos", "feature").agg(F.avg("base_mae").alias("base_mae"), *aggs)
     power, inter = F.col("feature_power_mean"), F.col("interaction_power_mean")
     floor = F.greatest(F.col("total_importance_mean"), F.lit(1e-10))
     whole = power + inter

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wattloom.fixed_values import APPLIANCES, ENVIRONMENT, ROOMS, STEP
 from wattloom.functions.columns import step_seconds
 from wattloom.operators.clean import reading_key
+from wattloom.session import durable
 
 CHUNK = 4096          # grid steps per chunk; bounds every ordered window below
 WIDE_LIMIT = 40       # beyond this many keys the conditional aggregate leaves codegen
@@ -151,7 +152,12 @@ def fill_gaps(grid: DataFrame, step: str | int = STEP, backward: bool = True,
 
 
 def to_wide(long: DataFrame, step: str | int = STEP, keys: list[str] | None = None) -> DataFrame:
-    """Long readings to the filled wide grid: pivot, resample, fill."""
+    """Long readings to the filled wide grid: pivot, resample, fill.
+
+    The grid is checkpointed before the fill, which reads it twice: it has one row per
+    step, while the readings below it, of any size, are then scanned and shuffled once.
+    """
     keys = keys or discover_keys(long)
     valid = long.where(reading_key().isin(keys))
-    return fill_gaps(resample_mean(pivot_mean(long, keys), step, bounds=valid), step)
+    grid = durable(resample_mean(pivot_mean(long, keys), step, bounds=valid))
+    return fill_gaps(grid, step)
