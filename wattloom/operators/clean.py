@@ -92,7 +92,7 @@ def unpivot(df: DataFrame, ids: list[str], cols: list[str],
 
 def cap_readings(df: DataFrame, limits: DataFrame, default_max: float) -> DataFrame:
     """Clip appliance readings to [0, cap]; other readings pass unchanged."""
-    capped = df.join(F.broadcast(limits.select("appliance", "max_power")), "appliance", "left")
+    capped = df.join(limits.select("appliance", "max_power"), "appliance", "left")
     cap = F.coalesce(F.col("max_power"), F.lit(default_max))
     return capped.withColumn(
         "value",

@@ -40,21 +40,29 @@ def permuted(i: Column, n: int, seed: int, repeat: int, pos: int = 0) -> Column:
     return F.pmod(i * F.lit(a) + F.lit(b), F.lit(n)).cast("long")
 
 
-def partners(df: DataFrame, features: Sequence[str], n: int, repeats: int, seed: int = SEED,
-             independent: bool = False, key: str = "row_id") -> DataFrame:
-    """(key, repeat, other): for each row and repeat an array of shuffled features.
+def _own_rows(df: DataFrame, features: Sequence[str], y: str, key: str) -> DataFrame:
+    own = F.array(*[F.col(c).cast("double") for c in features])
+    return df.select(key, F.col(y).alias("y"), "_base", own.alias("own"))
+
+
+def paired_rows(df: DataFrame, features: Sequence[str], y: str, n: int, repeats: int,
+                seed: int = SEED, key: str = "row_id") -> DataFrame:
+    """(key, y, _base, own, repeat, other): each row beside its partner of each repeat.
 
-    By default all values of `other` come from one partner row. With `independent`
-    each feature is shuffled on its own, and the array is put together by key.
+    The row itself travels to its partner, so one join does; keys are unique.
     """
-    values = F.array(*[F.col(c).cast("double") for c in features])
-    if not independent:
-        targets = F.explode(F.array(*[
-            F.struct(F.lit(r).alias("repeat"), permuted(F.col(key), n, seed, r).alias("target"))
-            for r in range(repeats)]))
-        asked = df.select(key, targets.alias("t")).select(key, "t.*")
-        given = df.select(F.col(key).alias("target"), values.alias("other"))
-        return asked.join(given, "target").select(key, "repeat", "other")
+    targets = F.explode(F.array(*[
+        F.struct(F.lit(r).alias("repeat"), permuted(F.col(key), n, seed, r).alias("target"))
+        for r in range(repeats)]))
+    rows = _own_rows(df, features, y, key)
+    asked = rows.select("*", targets.alias("t")).select(*rows.columns, "t.*")
+    given = rows.select(F.col(key).alias("target"), F.col("own").alias("other"))
+    return asked.join(given, "target").drop("target")
+
+
+def independent_partners(df: DataFrame, features: Sequence[str], n: int, repeats: int,
+                         seed: int = SEED, key: str = "row_id") -> DataFrame:
+    """(key, repeat, other): an array of features, each shuffled on its own."""
     # Rows send their values instead: the inverse bijection is affine as well, so
     # no join is needed, only one grouping by receiver.
     sends = []
@@ -94,14 +102,11 @@ def hashed_partners(df: DataFrame, features: Sequence[str], repeats: int, seed:
     return out
 
 
-def _variants(df: DataFrame, features: Sequence[str], y: str, others: DataFrame,
-              key: str, kinds: Sequence[str]) -> DataFrame:
+def _variants(paired: DataFrame, features: Sequence[str], kinds: Sequence[str]) -> DataFrame:
     """Rows of every variant: `without` replaces one feature by the partner's value,
     `only` keeps one feature and replaces all others. The unshuffled prediction
     `_base` travels along, so that errors are compared row by row: a feature that the
     model ignores then scores exactly zero."""
-    own = F.array(*[F.col(c).cast("double") for c in features])
-    base = df.select(key, F.col(y).alias("y"), "_base", own.alias("own"))
     made = []
     for j in range(len(features)):
         for kind in kinds:
@@ -110,8 +115,7 @@ def _variants(df: DataFrame, features: Sequence[str], y: str, others: DataFrame,
             made.append(F.struct(
                 F.lit(j).alias("pos"), F.lit(kind).alias("kind"),
                 *[F.col(s)[i].alias(c) for i, (s, c) in enumerate(zip(source, features))]))
-    rows = base.join(others, key).select("y", "_base", "repeat",
-                                         F.explode(F.array(*made)).alias("v"))
+    rows = paired.select("y", "_base", "repeat", F.explode(F.array(*made)).alias("v"))
     return rows.select("y", "_base", "repeat", "v.*")
 
 
@@ -125,9 +129,13 @@ def permutation_importance(df: DataFrame, features: Sequence[str], y: str, predi
                            key: str = "row_id", mode: str = "affine") -> DataFrame:
     """Drop in R2 per (feature, repeat). `df` holds dense row numbers 0..n-1."""
     n = df.count() if n is None else n
-    others = (partners(df, features, n, repeats, seed, key=key) if mode == "affine"
-              else hashed_partners(df, features, repeats, seed, key))
-    rows = predict(_variants(predict(df, "_base"), features, y, others, key, ["without"]), "_pred")
+    scored = predict(df, "_base")
+    if mode == "affine":
+        paired = paired_rows(scored, features, y, n, repeats, seed, key)
+    else:
+        paired = _own_rows(scored, features, y, key).join(
+            hashed_partners(df, features, repeats, seed, key), key)
+    rows = predict(_variants(paired, features, ["without"]), "_pred")
     shuffled, plain = F.col("y") - F.col("_pred"), F.col("y") - F.col("_base")
     spread = F.var_pop("y") * F.count(F.lit(1))  # every group holds all rows
     return rows.groupBy("pos", "repeat").agg(
@@ -170,9 +178,9 @@ def decompose_features(df: DataFrame, features: Sequence[str], y: str, predict:
     """Per feature and repeat: MAE increase without the feature (total), MAE change
     with all others shuffled (power), and what remains (interaction)."""
     n = df.count() if n is None else n
-    others = partners(df, features, n, repeats, seed, independent=True, key=key)
-    rows = predict(_variants(predict(df, "_base"), features, y, others, key,
-                             ["without", "only"]), "_pred")
+    paired = _own_rows(predict(df, "_base"), features, y, key).join(
+        independent_partners(df, features, n, repeats, seed, key), key)
+    rows = predict(_variants(paired, features, ["without", "only"]), "_pred")
     plain = F.abs(F.col("y") - F.col("_base"))
     more = F.abs(F.col("y") - F.col("_pred")) - plain
     without = F.col("kind") == "without"

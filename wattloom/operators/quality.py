@@ -34,17 +34,23 @@ def schedule(spark: SparkSession) -> DataFrame:
         rows, "appliance string, is_weekend int, hour int, probability double")
 
 
+def _dimension(df: DataFrame, standard, given: DataFrame | None) -> DataFrame:
+    """The given table as it is, or the standard one, whose rows are listed in this
+    package and may be broadcast. Catalyst sizes a given one by itself."""
+    return F.broadcast(standard(df.sparkSession)) if given is None else given
+
+
 def appliance_rows(df: DataFrame, dimension: DataFrame, keep: list[str]) -> DataFrame:
     """Wide power columns as rows, joined with a per-appliance dimension."""
     cols = [c for c in df.columns if c.startswith("power_")]
     tall = unpivot(df, keep, cols, "appliance", "watts").withColumn(
         "appliance", F.replace("appliance", F.lit("power_"), F.lit("")))
-    return tall.join(F.broadcast(dimension), "appliance")  # a fixed list of appliances
+    return tall.join(dimension, "appliance")
 
 
 def appliance_realism(features: DataFrame, dimension: DataFrame | None = None) -> DataFrame:
     """Six checks per appliance: figures, verdicts and checks passed."""
-    dim = expectations(features.sparkSession) if dimension is None else dimension
+    dim = _dimension(features, expectations, dimension)
     rows = appliance_rows(features, dim, ["hour", "occupancy_count"])
     watts = F.col("watts")
     active = watts > F.col("active_threshold")
@@ -95,8 +101,8 @@ def with_expected_activation(df: DataFrame, dimension: DataFrame | None = None,
                              default: float = DEFAULT_ACTIVATION) -> DataFrame:
     """Scheduled activation probability by appliance, hour and weekend flag; the
     default where the schedule has no entry or the appliance none at all."""
-    dim = schedule(df.sparkSession) if dimension is None else dimension
-    return df.join(F.broadcast(dim), ["appliance", "is_weekend", "hour"], "left").withColumn(
+    dim = _dimension(df, schedule, dimension)
+    return df.join(dim, ["appliance", "is_weekend", "hour"], "left").withColumn(
         "probability", F.coalesce("probability", F.lit(default)))
 
 
@@ -106,8 +112,8 @@ def classify_readings(rows: DataFrame, dimension: DataFrame | None = None) -> Da
     Beyond the appliance's limit it is over_cap; within three spreads of a known
     phantom load, phantom; above the active level, active; otherwise idle.
     """
-    dim = limits(rows.sparkSession) if dimension is None else dimension
-    joined = rows.join(F.broadcast(dim), "appliance", "left")
+    dim = _dimension(rows, limits, dimension)
+    joined = rows.join(dim, "appliance", "left")
     watts = F.col("value")
     cap = F.coalesce("max_power", F.lit(DEFAULT_MAX_POWER))
     phantom = F.coalesce("phantom_load", F.lit(0.0))
