@@ -1,4 +1,4 @@
-"""Headline queries: one JSON line with seconds per query (median of three, one warm-up)."""
+"""Headline queries: one JSON line with seconds per query (median after one warm-up)."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = get_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g",
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})

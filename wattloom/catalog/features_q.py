@@ -26,14 +26,14 @@ MEAN = 9
 
 @query("p01_sensor_split", with_(LONG_CTE, """
 SELECT sensor_type IN ('temperature', 'humidity', 'occupancy') AS environment,
-       count(*) AS n, round(sum(value), 4) AS total FROM long GROUP BY 1"""))
+       count(*) AS n, round(sum(value), 6) AS total FROM long GROUP BY 1"""))
 def p01(spark, sf):
     rows = readings(spark, sf)
     environment, appliances = clean.split_by_sensor(rows)
     both = environment.withColumn("environment", F.lit(True)).unionAll(
         appliances.withColumn("environment", F.lit(False)))
     return both.groupBy("environment").agg(F.count(F.lit(1)).alias("n"),
-                                           r6(F.sum("value"), "total", 4))
+                                           r6(F.sum("value"), "total", 6))
 
 
 @query("p02_pivot_key", with_(LONG_CTE, """
@@ -240,16 +240,16 @@ tall AS (SELECT sensor, value FROM (SELECT {", ".join(f"{c}::DOUBLE AS {c}" for
 
 
 @query("a06_sensor_summary", with_(_JOINED_CTE, f"""
-SELECT sensor, count(*) AS row_count, {sql_r6("min(value)", "min_value")},
-  {sql_r6("max(value)", "max_value")}, {sql_r6("avg(value)", "mean_value")},
-  {sql_r6("stddev_samp(value)", "std_value")},
+SELECT sensor, count(*) AS row_count, {sql_r6("min(value)", "min_value", MEAN)},
+  {sql_r6("max(value)", "max_value", MEAN)}, {sql_r6("avg(value)", "mean_value", MEAN)},
+  {sql_r6("stddev_samp(value)", "std_value", MEAN)},
   {sql_r6("CASE WHEN starts_with(sensor, 'occupancy_') THEN avg(value) * 100 END",
-          "occupied_pct")},
+          "occupied_pct", MEAN)},
   {sql_r6("CASE WHEN starts_with(sensor, 'power_') THEN count(*) FILTER (WHERE value < 1) * 100.0"
-          " / count(*) END", "zero_pct")}
+          " / count(*) END", "zero_pct", MEAN)}
 FROM tall GROUP BY sensor"""))
 def a06_summary(spark, sf):
-    return show(profiles.sensor_summary(wide_with_features(spark, sf).drop("occupancy_count")))
+    return show(profiles.sensor_summary(wide_with_features(spark, sf).drop("occupancy_count")), MEAN)
 
 
 _PROFILE_COLS = _SENSORS + ["total_power"]
@@ -384,10 +384,10 @@ ends AS (SELECT day_of_week, min(total_power) AS whisker_low, max(total_power) A
   WHERE total_power >= q1 - (q3 - q1) * 1.5 AND total_power <= q3 + (q3 - q1) * 1.5
   GROUP BY day_of_week)""", f"""
 SELECT day_of_week, {_r(["power_mean", "power_std", "occupancy_mean", "occupancy_std", "q1",
-                         "median", "q3", "whisker_low", "whisker_high"])}
+                         "median", "q3", "whisker_low", "whisker_high"], MEAN)}
 FROM q JOIN ends USING (day_of_week)"""))
 def a14(spark, sf):
-    return show(profiles.day_distribution(durable(feature_table(spark, sf))))
+    return show(profiles.day_distribution(durable(feature_table(spark, sf))), MEAN)
 
 
 @query("a19_ingest_counts", with_(LONG_CTE, """
@@ -502,7 +502,7 @@ def o06(spark, sf):
 # --- set operations ------------------------------------------------------------
 
 @query("u01_union_by_name", with_(LONG_CTE, """
-SELECT room, appliance, count(*) AS n, round(sum(value), 4) + 0 AS total FROM (
+SELECT room, appliance, count(*) AS n, round(sum(value), 6) + 0 AS total FROM (
   SELECT room, NULL AS appliance, value FROM long WHERE appliance IS NULL
   UNION ALL SELECT NULL, appliance, value FROM long WHERE appliance IS NOT NULL)
 GROUP BY room, appliance"""))
@@ -511,7 +511,7 @@ def u01(spark, sf):
     merged = clean.union_by_name(environment.select("timestamp", "room", "value"),
                                  appliances.select("value", "appliance", "timestamp"))
     return merged.groupBy("room", "appliance").agg(
-        F.count(F.lit(1)).alias("n"), r6(F.sum("value"), "total", 4))
+        F.count(F.lit(1)).alias("n"), r6(F.sum("value"), "total", 6))
 
 
 # --- scalar functions ------------------------------------------------------------
@@ -584,7 +584,7 @@ _LIMIT_SQL = ", ".join(f"('{a}', {m}::DOUBLE, {p}::DOUBLE)" for a, m, p in APPLI
 
 @query("f08_clip", with_(LONG_CTE, f"""
 SELECT appliance, {sql_r6("max(greatest(least(value * 30, max_power), 0))", "max_watts")},
-  {sql_r6("sum(greatest(least(value * 30, max_power), 0))", "total", 3)}
+  {sql_r6("sum(greatest(least(value * 30, max_power), 0))", "total", 6)}
 FROM long JOIN (VALUES {_LIMIT_SQL}) m(appliance, max_power, phantom) USING (appliance)
 GROUP BY appliance"""))
 def f08(spark, sf):
@@ -592,7 +592,7 @@ def f08(spark, sf):
         "value", F.col("value") * 30)
     capped = clean.cap_readings(rows, quality.limits(spark), 3000.0)
     return capped.groupBy("appliance").agg(r6(F.max("value"), "max_watts"),
-                                           r6(F.sum("value"), "total", 3))
+                                           r6(F.sum("value"), "total", 6))
 
 
 @query("f09_guarded_ratio", """

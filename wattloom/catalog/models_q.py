@@ -210,8 +210,8 @@ def _stored_features(spark, sf):
 
 def _scaler_sql(side):
     return " UNION ALL ".join(
-        f"SELECT {i} AS pos, '{c}' AS feature, round(avg({c}), 6) + 0 AS mean, round(CASE WHEN "
-        f"stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END, 6) + 0 AS scale FROM sided "
+        f"SELECT {i} AS pos, '{c}' AS feature, round(avg({c}), 9) + 0 AS mean, round(CASE WHEN "
+        f"stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END, 9) + 0 AS scale FROM sided "
         f"WHERE split = '{side}'" for i, c in enumerate(MODEL_INPUTS))
 
 
@@ -219,14 +219,14 @@ def _scaler_sql(side):
 def m01(spark, sf):
     _, params = split.prepare_split(_stored_features(spark, sf), MODEL_INPUTS, "total_power",
                                     ["timestamp"])
-    return show(params)
+    return show(params, 9)
 
 
 @query("m01_scaler_refit", with_(_SPLIT_CTE, _scaler_sql("test")))
 def m01_refit(spark, sf):
     _, params = split.prepare_split(_stored_features(spark, sf), MODEL_INPUTS, "total_power",
                                     ["timestamp"], test_scaler="refit")
-    return show(params)
+    return show(params, 9)
 
 
 _SCALED = ["mean_temperature", "occupancy_count", "power_kettle"]
@@ -243,12 +243,12 @@ def m01_rows(spark, sf):
 
 
 @query("a20_target_stats", with_(_SPLIT_CTE, f"""
-SELECT split, count(*) AS n, {sql_r6("avg(total_power)", "mean")},
-  {sql_r6("stddev_pop(total_power)", "std")}, {sql_r6("min(total_power)", "min")},
-  {sql_r6("max(total_power)", "max")} FROM sided GROUP BY split"""))
+SELECT split, count(*) AS n, {sql_r6("avg(total_power)", "mean", 9)},
+  {sql_r6("stddev_pop(total_power)", "std", 9)}, {sql_r6("min(total_power)", "min", 9)},
+  {sql_r6("max(total_power)", "max", 9)} FROM sided GROUP BY split"""))
 def a20(spark, sf):
     tagged = ordered.temporal_split(_stored_features(spark, sf), ["timestamp"])
-    return show(split.target_stats(tagged, "total_power"))
+    return show(split.target_stats(tagged, "total_power"), 9)
 
 
 @query("s10_split_round_trip", with_(_SPLIT_CTE, f"""

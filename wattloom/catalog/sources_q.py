@@ -50,7 +50,7 @@ def s02(spark, sf):
     return spark.createDataFrame([(k,) for k in kinds], "layout string")
 
 
-_TICK_SUMS = ", ".join(f"round(sum({k}), 4) + 0 AS {k}" for k in KEYS)
+_TICK_SUMS = ", ".join(f"round(sum({k}), 6) + 0 AS {k}" for k in KEYS)
 
 
 @query("s03_load_wide", with_(TICKS_CTE, f"""
@@ -67,11 +67,11 @@ def s03(spark, sf):
                .select("Unnamed: 0", *reversed(KEYS)), folder)
     return csv_files.load_wide(spark, folder).agg(
         F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first_ts"),
-        F.max("timestamp").alias("last_ts"), *[r6(F.sum(k), k, 4) for k in KEYS])
+        F.max("timestamp").alias("last_ts"), *[r6(F.sum(k), k, 6) for k in KEYS])
 
 
 @query("s04_load_long", with_(LONG_CTE, f"""
-SELECT sensor_type, room, appliance, count(*) AS n, round(sum(value), 4) + 0 AS total,
+SELECT sensor_type, room, appliance, count(*) AS n, round(sum(value), 6) + 0 AS total,
   (SELECT count(*) FROM long WHERE NOT ({_KEPT})) AS dropped
 FROM long WHERE {_KEPT} GROUP BY sensor_type, room, appliance"""))
 def s04(spark, sf):
@@ -80,12 +80,12 @@ def s04(spark, sf):
     counted = Observation("load")
     rows = durable(csv_files.load_long(spark, folder, counted))
     return rows.groupBy("sensor_type", "room", "appliance").agg(
-        F.count(F.lit(1)).alias("n"), r6(F.sum("value"), "total", 4)).withColumn(
+        F.count(F.lit(1)).alias("n"), r6(F.sum("value"), "total", 6)).withColumn(
         "dropped", F.lit(counted.get["dropped"]).cast("bigint"))
 
 
 @query("s05_headerless", with_(LONG_CTE, f"""
-SELECT room, count(*) AS n, round(sum(value), 4) + 0 AS total FROM long WHERE {_KEPT}
+SELECT room, count(*) AS n, round(sum(value), 6) + 0 AS total FROM long WHERE {_KEPT}
 GROUP BY room"""))
 def s05(spark, sf):
     folder = work_path(spark, "csv")
@@ -94,7 +94,7 @@ def s05(spark, sf):
     _write_csv(text.where(early), folder, header=False)
     _write_csv(text.where(~early), folder, header=True)
     return csv_files.load_long(spark, folder).groupBy("room").agg(
-        F.count(F.lit(1)).alias("n"), r6(F.sum("value"), "total", 4))
+        F.count(F.lit(1)).alias("n"), r6(F.sum("value"), "total", 6))
 
 
 _FEATURE_SUMS = ", ".join(f"round(sum({c})::DOUBLE, 3) + 0 AS {c}" for c in features.FEATURES)
@@ -210,16 +210,16 @@ def k02(spark, sf):
 
 @query("k07_quality_report", with_(FEATURES_CTE, f"""
 SELECT 'completeness' AS section, 'completeness_pct' AS item, {sql_r6(
-    "count(*) * 100.0 / ((max(timestamp)::DATE - min(timestamp)::DATE + 1) * 288)", "value")}
+    "count(*) * 100.0 / ((max(timestamp)::DATE - min(timestamp)::DATE + 1) * 288)", "value", 9)}
 FROM features
-UNION ALL SELECT 'power', 'mean', {sql_r6("avg(total_power)", "value")} FROM features
-UNION ALL SELECT 'power', 'max', {sql_r6("max(total_power)", "value")} FROM features
-UNION ALL SELECT 'power', 'min', {sql_r6("min(total_power)", "value")} FROM features
+UNION ALL SELECT 'power', 'mean', {sql_r6("avg(total_power)", "value", 9)} FROM features
+UNION ALL SELECT 'power', 'max', {sql_r6("max(total_power)", "value", 9)} FROM features
+UNION ALL SELECT 'power', 'min', {sql_r6("min(total_power)", "value", 9)} FROM features
 UNION ALL SELECT 'correlation', 'occupancy_count', {sql_r6(
-    "corr(occupancy_count, total_power)", "value")} FROM features"""))
+    "corr(occupancy_count, total_power)", "value", 9)} FROM features"""))
 def k07(spark, sf):
     from wattloom.plans.phases import quality_report
     report = quality_report(durable(feature_table(spark, sf)))
     wanted = (F.col("section").isin("completeness", "power")
               | ((F.col("section") == "correlation") & (F.col("item") == "occupancy_count")))
-    return report.where(wanted).select("section", "item", r6("value"))
+    return report.where(wanted).select("section", "item", r6("value", digits=9))
