@@ -78,9 +78,10 @@ def st04(spark, sf):
     counters = ingest.running_counters(ingest.decode(ingest.message_source(spark, folder, 2)))
     # The complete result has one row per sensor type and room, so memory can hold it.
     name = "counters_" + work_path(spark, "c").rsplit("-", 1)[1]
-    q = (counters.writeStream.format("memory").queryName(name).outputMode("complete")
-         .trigger(availableNow=True).option("checkpointLocation", work_path(spark, "state"))
-         .start())
+    writer = (counters.writeStream.format("memory").queryName(name).outputMode("complete")
+              .trigger(availableNow=True).option("checkpointLocation", work_path(spark, "state")))
+    with ingest.state_partitions(spark, spark.sparkContext.defaultParallelism):
+        q = writer.start()
     q.awaitTermination()
     return spark.table(name)
 
@@ -181,7 +182,8 @@ def _binned_stream(spark, sf, restarts=1):
 def _run_bins(spark, folder, out, state):
     stream = ingest.decode(ingest.message_source(spark, folder))
     bins = ingest.stream_bins(ingest.typed(ingest.readings_of(stream)))
-    ingest.append_to(bins, out, state).awaitTermination()
+    stores = spark.sparkContext.defaultParallelism
+    ingest.append_to(bins, out, state, stores=stores).awaitTermination()
 
 
 _BINS_SQL = with_(LONG_CTE, f"""

@@ -5,6 +5,9 @@ All transformations are plain DataFrame functions and work on batch tables too.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -88,15 +91,31 @@ def status_of(decoded: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
         number("total_messages").cast("bigint").alias("total_messages"))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Start stateful queries inside with n state stores; a checkpoint keeps its number."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if n:
+        spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str, by: str | None = None,
-              once: bool = True, every: str = "30 seconds") -> StreamingQuery:
-    """Append a stream to a Parquet table, exactly once across restarts."""
+              once: bool = True, every: str = "30 seconds",
+              stores: int | None = None) -> StreamingQuery:
+    """Append a stream to a Parquet table, exactly once across restarts. `stores` sets
+    the number of state stores of a new checkpoint."""
     writer = (stream.writeStream.format("parquet").outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint))
     if by:
         writer = writer.partitionBy(by)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
-    return writer.start()
+    with state_partitions(stream.sparkSession, stores):
+        return writer.start()
 
 
 def ingest(spark: SparkSession, source: str, out: str, once: bool = True,
