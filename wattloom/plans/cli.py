@@ -1,4 +1,4 @@
-"""Command line: `spark-submit -m wattloom.plans.cli --raw DIR --out DIR [options]`.
+"""Command line: `python -m wattloom.plans.cli --raw DIR --out DIR [options]`.
 
 Phases: 1 quality report, 2 message ingest, 3 features and split, 4 models,
 5 explanation, 6 validation. Phase 1 reports on the features, so it runs after 3
