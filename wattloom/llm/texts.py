@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -43,3 +45,39 @@ def map_rows(df: DataFrame, schema: T.StructType | str,
                     [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow, strict=True)],
                     schema=arrow)
     return df.mapInArrow(run, kind)
+
+
+class WordHashes(dict):
+    """64-bit hash of a word, remembered while the table stays under `limit` words."""
+
+    limit = 400_000
+
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = value
+        return value
+
+
+HASHES = WordHashes()
+
+
+def word_hashes(items: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(HASHES.__getitem__, items), np.uint64, len(items))
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """One hash for each run of `size` consecutive word hashes."""
+    n = len(h) - size + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    out = np.full(n, size, np.uint64)
+    for j in range(size):
+        out = out * np.uint64(0xD6E8FEB86659FD93) + h[j:n + j]
+    return mix(out)
