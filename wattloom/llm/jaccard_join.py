@@ -42,7 +42,8 @@ def shingles(text: bytes | None, size: int) -> np.ndarray:
 def signature(keys: np.ndarray) -> int:
     """A signed 64-bit name of a set."""
     mixed = mix(keys + np.uint64(0x1234567))
-    return int(mix(np.array([mixed.sum()], np.uint64) ^ np.bitwise_xor.reduce(mixed)).view(np.int64)[0])
+    both = mixed.sum() + mix(np.bitwise_xor.reduce(mixed, keepdims=True) + np.uint64(len(keys)))
+    return int(mix(both).view(np.int64)[0])
 
 
 def _needed(x: Column, y: Column, percent: int) -> Column:

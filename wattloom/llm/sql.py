@@ -51,7 +51,7 @@ m AS (
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
          coalesce(n_lines, 0) AS n_lines,
          len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_alpha_words,
-         len(list_filter(w, lambda x: length(encode(x)::BLOB) > 1 AND regexp_matches(x, '[A-Z]')
+         len(list_filter(w, lambda x: strlen(x) > 1 AND regexp_matches(x, '[A-Z]')
                                  AND NOT regexp_matches(x, '[a-z]'))) AS n_upper_words
   FROM d LEFT JOIN dups USING (doc_id) LEFT JOIN covered USING (doc_id)),
 f AS (SELECT *, {_BITS} AS failures FROM m)
