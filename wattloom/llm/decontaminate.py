@@ -43,7 +43,7 @@ def _slices(items: DataFrame, size: int, slice_windows: int) -> Iterator[dict]:
         if not words:
             continue
         long = min(size, len(words))
-        hashes = window_hashes(word_hashes(words), long).tolist()
+        hashes = window_hashes(word_hashes(b" ".join(words)), long).tolist()
         for i, h in enumerate(hashes):
             found[long][h][b" ".join(words[i:i + long])].add(item)
         held += len(hashes)
@@ -73,9 +73,9 @@ def mark(docs: DataFrame, items: DataFrame, size: int = 10,
                 ids = batch.column(names.index("_items")).to_pylist()
                 counts = []
                 for row, text in enumerate(texts):
-                    words = item_words(text)
-                    counts.append(len(words))
-                    h = word_hashes(words)
+                    folded = text.translate(FOLD) if text else b""
+                    h, words = word_hashes(folded), None
+                    counts.append(len(h))
                     at_words, at_items = set(hits[row]), set(ids[row])
                     for n, keys, at in table:
                         w = window_hashes(h, n)
@@ -83,6 +83,7 @@ def mark(docs: DataFrame, items: DataFrame, size: int = 10,
                             continue
                         place = np.minimum(np.searchsorted(keys, w), len(keys) - 1)
                         for i in np.flatnonzero(keys[place] == w).tolist():
+                            words = words or folded.split()
                             owners = at[int(w[i])].get(b" ".join(words[i:i + n]))
                             if owners:
                                 at_words.update(range(i, i + n))

@@ -24,18 +24,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, mix, raw, window_hashes, word_hashes, words
-from wattloom.session import durable
+from wattloom.llm.texts import map_rows, mix, raw, stored, window_hashes, word_hashes
 
 _KEY_BITS = 48
 
 
 def shingles(text: bytes | None, size: int) -> np.ndarray:
     """Distinct shingle keys in ascending order."""
-    parts = words(text)
-    if not parts:
+    words = word_hashes(text.lower()) if text else ()
+    if not len(words):
         return np.empty(0, np.uint64)
-    h = window_hashes(word_hashes(parts), min(size, len(parts)))
+    h = window_hashes(words, min(size, len(words)))
     return np.unique(h >> np.uint64(64 - _KEY_BITS))
 
 
@@ -141,25 +140,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_rows(both, "x long, y long", run)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and label (the smallest node it reaches), for the nodes of `edges` (x, y)."""
-    both = durable(edges.select("x", "y").union(edges.select("y", "x")).distinct()
-                   .toDF("x", "y"))
-    labels = durable(both.groupBy("x").agg(F.min("y").alias("m"))
-                     .select(F.col("x").alias("node"), F.least("x", "m").alias("label")))
-    while True:
+def components(edges: DataFrame, steps: int | None = None) -> DataFrame:
+    """node and label (the smallest node it reaches), for the nodes of `edges` (x, y). After
+    a given number of steps a label may still be that of some other node it reaches."""
+    both = stored(edges.select("x", "y").union(edges.select("y", "x")).distinct()
+                  .toDF("x", "y"), "edges")
+    labels = stored(both.groupBy("x").agg(F.min("y").alias("m"))
+                     .select(F.col("x").alias("node"), F.least("x", "m").alias("label")), "labels")
+    taken = 0
+    while steps is None or taken < steps:
+        taken += 1
         near = (both.join(labels, both.y == labels.node).groupBy("x")
                 .agg(F.min("label").alias("near")))
         step = (labels.join(near, labels.node == near.x)
                 .select("node", F.col("label").alias("old"),
                         F.least("label", "near").alias("via")))
         jump = labels.select(F.col("node").alias("via"), F.col("label").alias("far"))
-        step = durable(step.join(jump, "via", "left").select(
-            "node", "old", F.least("via", "far").alias("label")))
+        step = stored(step.join(jump, "via", "left").select(
+            "node", "old", F.least("via", "far").alias("label")), "labels")
         done = step.where("label <> old").isEmpty()
         labels = step.select("node", "label")
         if done:
-            return labels
+            break
+    return labels
 
 
 def _pairs_between(entries: DataFrame, percent: int) -> DataFrame:
@@ -179,7 +182,7 @@ def _pairs_between(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def link(docs: DataFrame, size: int = 5, percent: int = 80, many: int = 32,
-         demoted: int = 250_000, pivot_rounds: int = 6) -> DataFrame:
+         demoted: int = 250_000, pivot_rounds: int = 3) -> DataFrame:
     """doc_id, n_shingles, and component_id: the smallest doc_id reachable by links."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).where("doc_id is not null")
@@ -189,17 +192,18 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, many: int = 32,
             sets = [shingles(t, size) for t in raw(batch.column(1))]
             yield [(d, len(k), signature(k) if len(k) else None)
                    for d, k in zip(batch.column(0).to_pylist(), sets, strict=True)]
-    sizes = durable(map_rows(docs, "doc_id long, n int, node long", measured))
-    index = _index(docs, size, percent, _common(docs, size, many, demoted))
+    sizes = stored(map_rows(docs, "doc_id long, n int, node long", measured), "sizes")
+    index = stored(_index(docs, size, percent, _common(docs, size, many, demoted)), "index")
     shared = (index.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"))
               .where("a < b").select("key"))
-    entries = durable(index.join(shared, "key").distinct())
+    entries = stored(index.join(shared, "key").distinct(), "entries")
     first = sizes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     live = entries.select("node").distinct().join(first, "node").select(
         F.col("first").alias("doc_id"))
-    sets = durable(_sets(docs.join(live, "doc_id", "left_semi"), size).dropDuplicates(["node"]))
+    sets = stored(_sets(docs.join(live, "doc_id", "left_semi"), size).dropDuplicates(["node"]),
+                  "sets")
 
-    edges, labels = None, None
+    edges = None
     labelled = entries.withColumn("label", F.col("node"))
     for turn in range(pivot_rounds):
         groups = labelled.groupBy("key").agg(
@@ -208,18 +212,18 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, many: int = 32,
         wide = groups.where((F.col("held") > many) & (F.col("a") < F.col("b")))
         similar = ((F.col("n") * 100 >= F.col("p.n") * percent)
                    & (F.col("p.n") * 100 >= F.col("n") * percent))
-        pairs = durable(labelled.join(wide, "key").where((F.col("label") != F.col("p.label")) & similar)
-                        .select(F.least("node", "p.node").alias("x"),
-                                F.greatest("node", "p.node").alias("y")).distinct())
+        pairs = stored(labelled.join(wide, "key").where((F.col("label") != F.col("p.label")) & similar)
+                       .select(F.least("node", "p.node").alias("x"),
+                                F.greatest("node", "p.node").alias("y")).distinct(), "pairs")
         if pairs.isEmpty():
             break
-        found = durable(_verified(pairs, sets, percent))
+        found = stored(_verified(pairs, sets, percent), "found")
         if found.isEmpty():
             break
         edges = found if edges is None else edges.union(found)
-        labels = components(edges)
-        labelled = durable(entries.join(labels, "node", "left").select(
-            "key", "node", "n", F.coalesce("label", "node").alias("label")))
+        labels = components(edges, steps=1)
+        labelled = stored(entries.join(labels, "node", "left").select(
+            "key", "node", "n", F.coalesce("label", "node").alias("label")), "groups")
     last = _verified(_pairs_between(labelled, percent), sets, percent)
     labels = components(last if edges is None else edges.union(last))
     named = first.join(labels, "node", "left").select(

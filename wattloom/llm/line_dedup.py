@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import BLANK, raw
-from wattloom.session import durable
+from wattloom.llm.texts import BLANK, raw, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -69,7 +68,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     ids = docs.select("doc_id", "text")
     # A table of its own: both sides of the next join are then plain exchanges, and a line
     # that very many documents hold can be split.
-    shared = durable(shared_lines(ids, min_chars))
+    shared = stored(shared_lines(ids, min_chars), "shared_lines")
     drops = (_lines(ids, min_chars).join(shared, ["a", "b"]).where("doc_id > first")
              .groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_drop"))
              .select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "_drop"))

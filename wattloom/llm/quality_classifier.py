@@ -37,7 +37,7 @@ _RUNS = re.compile(rb"(.)\1+", re.S)
 class Terms(dict):
     """Term number of a word, remembered for up to `limit` words."""
 
-    limit = 400_000
+    limit = 1_000_000
 
     def __missing__(self, word: bytes) -> int:
         shape = _RUNS.sub(rb"\1", word.translate(_CLASS))[:12]

@@ -43,7 +43,7 @@ def measure(text: bytes | None) -> tuple[int, ...]:
             seen.add(line)
     repeated = 0
     if len(words) > WINDOW:
-        h = window_hashes(word_hashes(words), WINDOW)
+        h = window_hashes(word_hashes(text), WINDOW)
         _, back, n = np.unique(h, return_inverse=True, return_counts=True)
         step = np.zeros(len(words) + 1, np.int64)
         twice = np.flatnonzero(n[back] > 1)

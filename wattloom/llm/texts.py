@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from wattloom.session import work_path
+
 #: The white space of all word rules here: space and the control characters 9 to 13.
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -47,24 +48,36 @@ def map_rows(df: DataFrame, schema: T.StructType | str,
     return df.mapInArrow(run, kind)
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered while the table stays under `limit` words."""
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2**64, as far as a text is long."""
 
-    limit = 400_000
+    base = 0xD1342543DE82EF95
+    up = down = np.ones(1, np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = value
-        return value
+    @classmethod
+    def upto(cls, n: int) -> None:
+        if len(cls.up) < n:
+            n = max(n, 2 * len(cls.up), 1 << 14)
+            inverse = pow(cls.base, -1, 1 << 64)
+            cls.up, cls.down = (np.cumprod(np.concatenate(
+                [np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)])) for b in (cls.base, inverse))
 
 
-HASHES = WordHashes()
+_BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
+_IS_BLANK = np.zeros(256, bool)
+_IS_BLANK[list(BLANK.encode())] = True
 
 
-def word_hashes(items: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(HASHES.__getitem__, items), np.uint64, len(items))
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word (run without BLANK), from differences of prefix sums."""
+    codes = np.frombuffer(text, np.uint8)
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _IS_BLANK[codes], [True]])))
+    starts, ends = edges[::2], edges[1::2]
+    _Powers.upto(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(_BYTE[codes] * _Powers.up[:len(codes)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _Powers.down[starts]
+               + (ends - starts).astype(np.uint64))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -81,3 +94,10 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     for j in range(size):
         out = out * np.uint64(0xD6E8FEB86659FD93) + h[j:n + j]
     return mix(out)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again: computed once, free of its lineage."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
