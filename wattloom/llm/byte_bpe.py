@@ -33,7 +33,7 @@ _SHIFT = 28
 class ByteBpe:
     """Encoder and decoder for one rank table."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = 600_000):
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.pieces = {rank: piece for piece, rank in ranks.items()}
         self.remembered, self.memory = remembered, {}

@@ -36,7 +36,7 @@ BLOCK = ("part int, block int, before long, n_tokens long, doc_ids array<long>,
 class RunIds(dict):
     """The ids of a run without white space, remembered up to `limit` runs."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         super().__init__()

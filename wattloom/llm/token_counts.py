@@ -25,7 +25,7 @@ MARK = "▁"
 
 
 class ForwardTrie:
-    def __init__(self, scores: dict[str, float], limit: int = 400_000):
+    def __init__(self, scores: dict[str, float], limit: int = 1_000_000):
         self.scores, self.limit = scores, limit
         self.longest = max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - 10.0
