@@ -41,7 +41,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = byte_bpe.encode_documents(docs, RANKS, public_tokenizers.PATTERN)
+    ids = byte_bpe.encode_documents(docs, RANKS, public_tokenizers.PATTERN,
+                                    byte_bpe.RUNS)
     return ids.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
 

@@ -43,9 +43,10 @@ def tiktoken_encoding():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_byte_bpe_matches_library_and_round_trips(docs, tiktoken_encoding):
+@pytest.mark.parametrize("runs", [None, byte_bpe.RUNS])
+def test_byte_bpe_matches_library_and_round_trips(docs, tiktoken_encoding, runs):
     path = P.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode_documents(docs, path, P.PATTERN)
+    encoded = byte_bpe.encode_documents(docs, path, P.PATTERN, runs)
     assert set(docs.columns) < set(encoded.columns)
     for row in encoded.collect():
         assert row.token_ids == tiktoken_encoding.encode_ordinary(row.text or "")
@@ -59,7 +60,7 @@ def test_segment_tree_on_random_bytes(tiktoken_encoding):
     rng = np.random.default_rng(5)
     for n in (1, 2, 3, 7, 64, 500):
         piece = bytes(rng.choice(np.frombuffer(b"aaabbetho", np.uint8), n))
-        assert bpe.merge(piece) == tiktoken_encoding._encode_single_piece(piece)
+        assert bpe.merge([piece]) == [tuple(tiktoken_encoding._encode_single_piece(piece))]
 
 
 def test_token_files_round_trip(spark, docs):

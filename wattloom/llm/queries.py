@@ -47,7 +47,7 @@ def op4(spark, sf_dir):
 @query("op5_byte_bpe")
 def op5(spark, sf_dir):
     return byte_bpe.digests(texts(table(spark, sf_dir, "documents")), RANKS,
-                            public_tokenizers.PATTERN)
+                            public_tokenizers.PATTERN, byte_bpe.RUNS)
 
 
 @query("op6_quality_rules", RULE_LEDGER)
