@@ -128,3 +128,21 @@ def test_all_phases(spark, tmp_path):
     # 1 completeness, 3 power, 12 and 24 hourly, 8 realism and 7 correlation rows
     assert spark.read.parquet(f"{out}/results/quality").count() == 55
     assert phases.INPUTS == [c for c in phases.FEATURES if c != "total_power"]
+
+
+def test_mixed_folder_keeps_every_row_and_sensor(spark, tmp_path):
+    """Long files with unlisted and quoted names beside a wide file with its own total."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    lines = ["timestamp,room,sensor_type,appliance,values"]
+    for i in range(3):
+        at = f"2024-01-01 00:{5 * i:02d}:00"
+        lines += [f"{at},o'neil,temperature,,{20 + i}", f"{at},garage,temperature,,{30 + i}",
+                  f"{at},kitchen,smart_plug,oven,1000", f"{at},kitchen,smart_plug,kettle,10"]
+    write(str(raw / "long.csv"), "\n".join(lines).replace("values", csv_files.LONG_COLUMNS[-1]))
+    write(str(raw / "wide.csv"), "timestamp,temperature_a,total_power\n"
+          "2024-01-01 00:10:00,1,7\n2024-01-01 00:15:00,2,8\n2024-01-01 00:20:00,,9\n")
+    got = {r["timestamp"].minute: r for r in phases.run_preprocessing(
+        spark, str(raw), str(tmp_path / "out")).collect()}
+    assert {m: (r["mean_temperature"], r["total_power"]) for m, r in got.items()} == {
+        0: (25.0, 1010.0), 5: (26.0, 1010.0), 10: (27.0, 1010.0), 15: (2.0, 8.0)}

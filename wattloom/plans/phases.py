@@ -13,7 +13,7 @@ from wattloom.fixed_values import LEARNING_FRACTIONS, PERMUTATION_REPEATS, STEP
 from wattloom.operators import compare, evaluate, explain, ordered, profiles, quality, train
 from wattloom.operators.clean import union_by_name
 from wattloom.operators.features import FEATURES, engineer_features
-from wattloom.operators.reshape import standard_keys, to_wide
+from wattloom.operators.reshape import to_wide
 from wattloom.operators.split import prepare_split
 from wattloom.sources import csv_files, external, store
 from wattloom.streaming import ingest
@@ -55,29 +55,45 @@ def run_ingest(spark: SparkSession, messages: str, out: str) -> None:
 
 
 def build_features(long: DataFrame, step: str = STEP, keys: list[str] | None = None) -> DataFrame:
-    """Long readings to features; lazy, one plan."""
-    return engineer_features(to_wide(long, step, keys or standard_keys()))
+    """Long readings to features; lazy, one plan. Without `keys`, all sensors in the data."""
+    return engineer_features(to_wide(long, step, keys))
 
 
-def load_any(spark: SparkSession, raw: str, step: str = STEP) -> DataFrame:
-    """The wide table of a raw CSV folder of either layout. Long files are resampled
-    and filled; wide ones are taken as they are."""
+def load_layouts(spark: SparkSession, raw: str, step: str = STEP) -> dict[str, DataFrame]:
+    """The wide tables of a raw CSV folder by layout. Long files are resampled and filled,
+    with a column for every sensor in them; wide ones are taken as they are."""
     found = csv_files.headers(spark, csv_files.list_csv(spark, raw))
     kinds = {csv_files.detect_format(n) for n in found.values()}
-    parts = []
+    parts = {}
     if kinds & {"long", "headerless"}:
-        parts.append(to_wide(csv_files.load_long(spark, raw), step, standard_keys()))
+        parts["long"] = to_wide(csv_files.load_long(spark, raw), step)
     if "wide" in kinds:
-        parts.append(csv_files.load_wide(spark, raw))
-    return union_by_name(*parts)
+        parts["wide"] = csv_files.load_wide(spark, raw)
+    return parts
 
 
 def run_preprocessing(spark: SparkSession, raw: str, out: str, step: str = STEP) -> DataFrame:
-    """Phase 3, first half: raw files to the stored wide and feature tables."""
-    store.write_by_date(load_any(spark, raw, step), f"{out}/wide")
-    wide = spark.read.parquet(f"{out}/wide").drop("date")
-    store.write_by_date(engineer_features(wide), f"{out}/features")
-    return spark.read.parquet(f"{out}/features").drop("date")
+    """Phase 3, first half: raw files to the stored wide and feature tables.
+
+    Features are computed per layout, as a column that one layout lacks is no gap in its
+    rows. Where both layouts have a feature row of one time, that of the long files stays.
+    """
+    layouts = load_layouts(spark, raw, step)
+    store.write_by_date(union_by_name(*[
+        part.withColumn("layout", F.lit(name)) for name, part in layouts.items()]),
+        f"{out}/wide")
+    stored = spark.read.parquet(f"{out}/wide").drop("date")
+    parts = {name: engineer_features(stored.where(F.col("layout") == name).select(*part.columns))
+             for name, part in layouts.items()}
+    features = next(iter(parts.values()))
+    if len(parts) == 2:
+        features = parts["long"].unionByName(
+            parts["wide"].join(parts["long"].select("timestamp"), "timestamp", "left_anti"))
+    store.write_by_date(features, f"{out}/features")
+    features = spark.read.parquet(f"{out}/features").drop("date")
+    log.info("features for %d of %d wide rows; the rest lack an input or repeat a time",
+             features.count(), stored.count())
+    return features
 
 
 def run_split(spark: SparkSession, out: str) -> None:
