@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, plain
+from wattloom.llm.texts import map_rows, plain, slices
 
 _NONE = np.int64(1 << 60)
 _SHIFT = 28
@@ -179,18 +179,6 @@ def load(path: str, pattern: str, runs: str | None = None) -> ByteBpe:
     return ByteBpe({base64.b64decode(a): int(b) for a, b in rows}, pattern, runs)
 
 
-def _slices(texts: list[str], most: int = 500, characters: int = 4_000_000):
-    """Start and end of slices of bounded size; a very long text is one alone."""
-    start = held = 0
-    for end, text in enumerate(texts):
-        if end > start and (end - start == most or held + len(text) > characters):
-            yield start, end
-            start, held = end, 0
-        held += len(text)
-    if texts:
-        yield start, len(texts)
-
-
 def encode_documents(docs: DataFrame, path: str, pattern: str,
                      runs: str | None = None) -> DataFrame:
     """The rows and columns of `docs` with `token_ids` (array of int)."""
@@ -201,7 +189,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str,
         bpe = load(path, pattern, runs)
         for batch in batches:
             texts = plain(batch.column(batch.schema.get_field_index("text")))
-            for a, b in _slices(texts):
+            for a, b in slices(texts):
                 ids = pa.array(list(bpe.encode_all(texts[a:b])), pa.list_(pa.int32()))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
@@ -227,7 +215,7 @@ def digests(docs: DataFrame, path: str, pattern: str, runs: str | None = None) -
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
             texts = plain(batch.column(batch.schema.get_field_index("text")))
-            for a, b in _slices(texts):
+            for a, b in slices(texts):
                 yield [(key, len(ids),
                         sha256(" ".join(map(bpe.names.__getitem__, ids)).encode()).hexdigest(),
                         sha256(bpe.decode(ids)).hexdigest())

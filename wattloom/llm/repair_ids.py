@@ -18,7 +18,9 @@ that repeat a doc_id stand next to each other, ordered by a hash of the text.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, plain
+from wattloom.llm.texts import map_rows, plain, slices
 
 BLOCK = ("part int, block int, before long, n_tokens long, doc_ids array<long>, "
          "doc_tokens array<long>, doc_symbols array<long>, base long, rules binary, "
@@ -36,26 +38,34 @@ BLOCK = ("part int, block int, before long, n_tokens long, doc_ids array<long>,
 class RunIds(dict):
     """The ids of a run without white space, remembered up to `limit` runs."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
-
-    def __missing__(self, run: str) -> tuple[int, ...]:
-        ids = tuple(self.tokenizer.encode(run, add_special_tokens=False).ids) if run else ()
-        if len(run) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[run] = ids
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        for run in map(self.__getitem__, text.replace("\n", " ").split(" ")):
-            ids.extend(run)
-        return ids
+        self.same = list(range(self.base))  # one object per id, however many runs hold it
+
+    def learn(self, runs: list[str]) -> None:
+        """Encode runs that are not in the table, in one call of the library."""
+        for run, found in zip(runs, self.tokenizer.encode_batch_fast(
+                runs, add_special_tokens=False), strict=True):
+            self[run] = tuple(map(self.same.__getitem__, found.ids))
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; runs that are new among the texts are encoded together."""
+        if len(self) >= self.limit:
+            self.clear()
+        cut = [text.replace("\n", " ").split(" ") for text in texts]
+        self[""] = ()
+        new = list(set(chain.from_iterable(cut)).difference(self))
+        for k in range(0, len(new), 20_000):
+            self.learn(new[k:k + 20_000])
+        for runs in cut:
+            yield list(chain.from_iterable(map(self.__getitem__, runs)))
+        for run in new:
+            if len(run) > 64:
+                del self[run]
 
 
 @lru_cache(maxsize=2)
@@ -145,14 +155,16 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
                     seq.astype("<u4").tobytes())
         for batch in batches:
             names = batch.schema.names
-            for key, text in zip(batch.column(names.index("doc_id")).to_pylist(),
-                                 plain(batch.column(names.index("text"))), strict=True):
-                keys.append(key)
-                parts.append(np.array([*ids_of.encode(text), end_id], np.int64))
-                held += len(parts[-1])
-                if held >= block_tokens:
-                    yield [packed()]
-                    before, block, held, keys, parts = before + held, block + 1, 0, [], []
+            doc_ids = batch.column(names.index("doc_id")).to_pylist()
+            texts = plain(batch.column(names.index("text")))
+            for a, b in slices(texts):
+                for key, ids in zip(doc_ids[a:b], ids_of.encode_all(texts[a:b]), strict=True):
+                    keys.append(key)
+                    parts.append(np.array([*ids, end_id], np.int64))
+                    held += len(parts[-1])
+                    if held >= block_tokens:
+                        yield [packed()]
+                        before, block, held, keys, parts = before + held, block + 1, 0, [], []
         if parts:
             yield [packed()]
     ties = F.xxhash64("text")

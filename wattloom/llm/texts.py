@@ -27,6 +27,19 @@ def plain(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return [b.decode("utf-8", "replace") if b else "" for b in raw(column)]
 
 
+def slices(texts: list[str], most: int = 500,
+           characters: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Start and end of slices of bounded size; a very long text is one alone."""
+    start = held = 0
+    for end, text in enumerate(texts):
+        if end > start and (end - start == most or held + len(text) > characters):
+            yield start, end
+            start, held = end, 0
+        held += len(text)
+    if texts:
+        yield start, len(texts)
+
+
 def words(text: bytes | None) -> list[bytes]:
     """Runs without white space, A-Z in lower case (`bytes` methods know ASCII only)."""
     return text.lower().split() if text else []
