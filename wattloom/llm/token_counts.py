@@ -7,7 +7,8 @@ The count at a word's last node is its token count. Each task grows one trie and
 new one at `limit` nodes, so memory is bounded however many words there are.
 
 Piece scores are -log(rank + 2) over the pieces in file order. A character without a piece
-costs one token per UTF-8 byte. Equal scores are settled by fewer pieces.
+costs one token per UTF-8 byte. A second trie, of the pieces, tells which ancestors can start
+a piece that reaches a new node, so that a node costs as many steps as there are such pieces. Equal scores are settled by fewer pieces.
 
 Defined results: null and empty text has no words and no tokens; each row gets a row.
 """
@@ -24,37 +25,71 @@ from wattloom.llm.texts import map_rows, plain
 MARK = "▁"
 
 
+class Ends(dict):
+    """Token counts of the words met so far; a missing one is counted by the trie."""
+
+    def __init__(self, count):
+        super().__init__()
+        self.count = count
+
+    def __missing__(self, word: str) -> int:
+        return self.count(word)
+
+
 class ForwardTrie:
     def __init__(self, scores: dict[str, float], limit: int = 1_000_000):
-        self.scores, self.limit = scores, limit
-        self.longest = max(map(len, scores), default=1)
+        self.limit = limit
         self.unknown = min(scores.values(), default=0.0) - 10.0
+        self.pieces, self.longest = {}, max(map(len, scores), default=1)
+        for piece, score in scores.items():
+            node = self.pieces
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[None] = score
+        self.ends = Ends(self.count)
         self.clear()
 
     def clear(self) -> None:
-        self.root, self.nodes, self.ends = ({}, 0.0, 0), 0, {}
+        self.root, self.nodes = ({}, 0.0, 0), 0
+        self.ends.clear()
 
-    def _step(self, text: str, end: int, path: list) -> tuple:
-        """The node for text[:end], from the nodes of all shorter prefixes."""
-        char_bytes = len(text[end - 1].encode("utf-8", "replace"))
-        best = (path[end - 1][1] + self.unknown * char_bytes, -(path[end - 1][2] + char_bytes))
+    def _open(self, text: str, end: int, path: list) -> list:
+        """Of each ancestor, from where text[start:end] begins a piece: it, and the place."""
+        found = []
         for start in range(max(0, end - self.longest), end):
-            score = self.scores.get(text[start:end])
-            if score is not None:
-                best = max(best, (path[start][1] + score, -(path[start][2] + 1)))
-        return {}, best[0], -best[1]
+            at = self.pieces
+            for char in text[start:end]:
+                at = at.get(char)
+                if at is None:
+                    break
+            else:
+                found.append((path[start], at))
+        return found
 
     def count(self, word: str) -> int:
         """Pieces on the best path of one pre-token."""
-        found = self.ends.get(word)
-        if found is not None:
-            return found
-        text, node, path = MARK + word, self.root, [self.root]
+        text, node, path, reach = MARK + word, self.root, [self.root], None
         shared = len(text) <= 64
         for i, char in enumerate(text):
             below = node[0].get(char)
             if below is None:
-                below = self._step(text, i + 1, path)
+                # Below a new node all nodes are new: the open pieces are found once.
+                reach = self._open(text, i, path) if reach is None else reach
+                reach.append((node, self.pieces))
+                size = len(char.encode("utf-8", "replace"))
+                best, fewest = node[1] + self.unknown * size, node[2] + size
+                further = []
+                for start, at in reach:
+                    at = at.get(char)
+                    if at is not None:
+                        further.append((start, at))
+                        score = at.get(None)
+                        if score is not None:
+                            score += start[1]
+                            if score > best or score == best and start[2] + 1 < fewest:
+                                best, fewest = score, start[2] + 1
+                reach = further
+                below = ({}, best, fewest)
                 if shared:
                     node[0][char] = below
                     self.nodes += 1
@@ -85,7 +120,7 @@ def count_tokens(docs: DataFrame, model: str) -> DataFrame:
             for key, text in zip(batch.column(names.index("doc_id")).to_pylist(),
                                  plain(batch.column(names.index("text"))), strict=True):
                 parts = text.split()
-                out.append((key, len(parts), sum(map(trie.count, parts))))
+                out.append((key, len(parts), sum(map(trie.ends.__getitem__, parts))))
             yield out
     return map_rows(docs.select("doc_id", "text"), "doc_id long, n_words long, n_tokens long",
                     run)
