@@ -206,6 +206,29 @@ def test_toxicity(spark):
     assert toxicity.score(docs, empty).where("score <> 0").isEmpty()
 
 
+def test_toxicity_minority_words(spark):
+    """A language with a twentieth of the toxic rows keeps its words and its recall."""
+    rng = np.random.default_rng(14)
+    common = [f"word{chr(97 + i)}" for i in range(26)]
+    rare = [f"palabra{chr(97 + i)}" for i in range(26)]
+    rows, labels = [], []
+    for k in range(900):
+        other = k % 3 == 2
+        text = list(rng.choice(rare if other else common, 60))
+        if toxic := not other and k % 2 == 0:
+            text[::6] = [f"grobian{chr(97 + i)}" for i in range(10)]
+        elif toxic := other and k % 60 in (2, 32):
+            text[10:12] = ["canalla", "patan"]
+        rows.append((k, " ".join(text)))
+        labels.append((k, 1, int(toxic)))
+    docs = frame(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert dict(model["words"]).keys() == {"canalla", "patan",
+                                           *(f"grobian{chr(97 + i)}" for i in range(10))}
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert all((got[k] >= 0.7) == bool(y) for k, _, y in labels)
+
+
 def test_quality(spark):
     rng = np.random.default_rng(6)
     rows = [(k, " ".join(("some", "Words", "here.", "and", "there")[i] + ("###" if k % 3 == 0 else "")

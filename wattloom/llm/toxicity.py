@@ -2,12 +2,14 @@
 
 Folding writes homoglyphs and digit substitutions as plain letters, one character for one.
 A match counts if it stands at word bounds and no exception phrase covers it. The sum of the
-weights, as it is and normalised by length, goes through a logistic curve.
+weights, as it is and normalised by length, goes on a log scale through a logistic curve.
 
 Fitting uses at most `max_rows` labelled training rows, the ones smallest by a hash of their
-id. Word weights are log odds of document frequencies in toxic and other rows; words must be
-`precise` and held by `least` toxic rows. Exception phrases are word pairs with a lexicon
-word that clean rows hold and toxic rows do not. The lexicon is bounded by `max_words`.
+id. Each word is judged by its own counts, whatever those of other words: it must be `precise`
+and held by `least` toxic rows, and its weight is the lower confidence bound, `deviations`
+standard errors below, of the log odds of its document frequencies in toxic and other rows;
+it must be above zero. Exception phrases are word pairs with a lexicon word that clean rows
+hold and toxic rows do not. The lexicon is bounded by the words of the sample alone.
 
 Defined results: null and empty text scores the curve at zero; without labels, or with labels
 of one kind only, the lexicon is empty and every score is the share of toxic rows (0.0
@@ -107,9 +109,9 @@ def _grams(rows: DataFrame) -> DataFrame:
     return map_rows(rows, "y int, word string", run)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_words: int = 300,
-        least: int = 4, precise: float = 0.6) -> dict:
-    """Lexicon, exception phrases and curve; all of bounded size."""
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, least: int = 4,
+        precise: float = 0.6, deviations: float = 1.645) -> dict:
+    """Lexicon, exception phrases and curve, from the sample's rows."""
     rows = sample(docs, labels, "toxic", in_training(F.col("doc_id")), max_rows).persist()
     sizes = dict(rows.groupBy("y").count().collect())
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
@@ -119,13 +121,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_words: i
         held = _grams(rows).groupBy("word").agg(
             F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).alias("p"),
             F.sum(F.when(F.col("y") == 0, 1).otherwise(0)).alias("q"))
-        odds = F.log((F.col("p") + 0.5) / (pos + 1.0)) - F.log((F.col("q") + 0.5) / (neg + 1.0))
-        best = (held.where((F.col("p") >= least) & (F.col("p") >= precise * (F.col("p") + F.col("q"))))
-                .withColumn("weight", odds).orderBy(F.desc(F.col("p") * F.col("weight")), "word")
-                .limit(max_words).select("word", "weight", "p").collect())
-        # A word far rarer than the leading ones is chance, not lexicon.
-        top = float(np.median([r.p for r in best[:10]])) if best else 0.0
-        words = tuple((r.word, float(r.weight)) for r in best if r.p >= 0.1 * top)
+        p, q = F.col("p") + 0.5, F.col("q") + 0.5
+        odds = F.log(p / (pos + 1.0)) - F.log(q / (neg + 1.0))
+        error = F.sqrt(1 / p + 1 / q - 1 / (pos + 1.0) - 1 / (neg + 1.0))
+        kept = (held.where((F.col("p") >= least) & (F.col("p") >= precise * (F.col("p") + F.col("q"))))
+                .withColumn("weight", odds - deviations * error).where("weight > 0")
+                .orderBy(F.desc("weight"), "word").select("word", "weight").collect())
+        words = tuple((r.word, float(r.weight)) for r in kept)
         model["words"] = words
         model["exceptions"] = _exceptions(rows, words)
         model["curve"] = _curve(rows, model)
@@ -164,9 +166,10 @@ def _features(rows: DataFrame, model: dict) -> DataFrame:
 
 
 def _curve(rows: DataFrame, model: dict) -> list[float]:
-    """Logistic weights on (1, total, dense), by Newton steps with a small ridge."""
+    """Logistic weights on (1, log(1 + total), log(1 + dense)), by Newton steps with a small
+    ridge. On the log scale, a text with very many matches doesn't flatten the curve."""
     data = np.array(_features(rows, model).orderBy("y", "total", "dense").collect(), float)
-    x, y = np.column_stack([np.ones(len(data)), data[:, 1], data[:, 2]]), data[:, 0]
+    x, y = np.column_stack([np.ones(len(data)), np.log1p(data[:, 1:])]), data[:, 0]
     b = np.zeros(3)
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
@@ -190,7 +193,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                     out.append((key, base))
                     continue
                 total, dense = evidence(text, auto)
-                z = curve[0] + curve[1] * total + curve[2] * dense
+                z = curve[0] + curve[1] * np.log1p(total) + curve[2] * np.log1p(dense)
                 out.append((key, float(1 / (1 + np.exp(-min(30.0, max(-30.0, z)))))))
             yield out
     return map_rows(docs.select("doc_id", "text"), "doc_id long, score double", run)
