@@ -146,3 +146,21 @@ def test_mixed_folder_keeps_every_row_and_sensor(spark, tmp_path):
         spark, str(raw), str(tmp_path / "out")).collect()}
     assert {m: (r["mean_temperature"], r["total_power"]) for m, r in got.items()} == {
         0: (25.0, 1010.0), 5: (26.0, 1010.0), 10: (27.0, 1010.0), 15: (2.0, 8.0)}
+
+
+def test_mixed_folder_wide_rows_in_a_gap_of_the_long_files(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    lines = ["timestamp,room,sensor_type,appliance,values"]
+    for minute in (0, 25):
+        at = f"2024-01-01 00:{minute:02d}:00"
+        lines += [f"{at},garage,temperature,,{30 + minute}", f"{at},kitchen,smart_plug,oven,1000"]
+    write(str(raw / "long.csv"), "\n".join(lines).replace("values", csv_files.LONG_COLUMNS[-1]))
+    write(str(raw / "wide.csv"), "timestamp,temperature_a,total_power\n"
+          "2024-01-01 00:00:00,1,7\n2024-01-01 00:10:00,2,8\n2024-01-01 00:12:00,3,9\n"
+          "2024-01-01 00:15:00,,9\n")
+    got = phases.run_preprocessing(spark, str(raw), str(tmp_path / "out")).collect()
+    rows = {r["timestamp"].minute: (r["mean_temperature"], r["total_power"]) for r in got}
+    assert len(rows) == len(got) and rows == {
+        0: (30.0, 1000.0), 5: (30.0, 1000.0), 10: (2.0, 8.0), 12: (3.0, 9.0),
+        15: (30.0, 1000.0), 20: (30.0, 1000.0), 25: (55.0, 1000.0)}

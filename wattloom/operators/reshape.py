@@ -148,8 +148,10 @@ def fill_gaps(grid: DataFrame, step: str | int = STEP, backward: bool = True,
         f"coalesce(`{c}`, _carry_{i}) AS `{c}`" for i, c in enumerate(cols)])
 
 
-def to_wide(long: DataFrame, step: str | int = STEP, keys: list[str] | None = None) -> DataFrame:
-    """Long readings to the filled wide grid: pivot, resample, fill.
+def to_wide(long: DataFrame, step: str | int = STEP, keys: list[str] | None = None,
+            mark: str | None = None) -> DataFrame:
+    """Long readings to the filled wide grid: pivot, resample, fill. A column `mark` tells
+    the steps that had a reading before the fill.
 
     The grid is checkpointed before the fill, which reads it twice: it has one row per
     step, while the readings below it, of any size, are then scanned and shuffled once.
@@ -157,4 +159,8 @@ def to_wide(long: DataFrame, step: str | int = STEP, keys: list[str] | None = No
     keys = keys or discover_keys(long)
     valid = long.where(reading_key().isin(keys))
     grid = durable(resample_mean(pivot_mean(long, keys), step, bounds=valid))
-    return fill_gaps(grid, step)
+    filled = fill_gaps(grid, step)
+    if mark is None:
+        return filled
+    known = F.expr(" OR ".join(f"`{k}` IS NOT NULL" for k in keys))
+    return filled.join(grid.select("timestamp", known.alias(mark)), "timestamp")

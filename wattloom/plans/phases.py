@@ -22,6 +22,7 @@ log = logging.getLogger(__name__)
 TARGET = "total_power"
 INPUTS = [c for c in FEATURES if c != TARGET]
 ORDER = ["timestamp"]
+READ = "_long_reading"  # in a mixed folder: the steps of the grid that had a long reading
 
 
 def quality_report(features: DataFrame) -> DataFrame:
@@ -61,12 +62,14 @@ def build_features(long: DataFrame, step: str = STEP, keys: list[str] | None = N
 
 def load_layouts(spark: SparkSession, raw: str, step: str = STEP) -> dict[str, DataFrame]:
     """The wide tables of a raw CSV folder by layout. Long files are resampled and filled,
-    with a column for every sensor in them; wide ones are taken as they are."""
+    with a column for every sensor in them, and beside wide files also with READ; wide ones
+    are taken as they are."""
     found = csv_files.headers(spark, csv_files.list_csv(spark, raw))
     kinds = {csv_files.detect_format(n) for n in found.values()}
     parts = {}
     if kinds & {"long", "headerless"}:
-        parts["long"] = to_wide(csv_files.load_long(spark, raw), step)
+        parts["long"] = to_wide(csv_files.load_long(spark, raw), step,
+                                mark=READ if "wide" in kinds else None)
     if "wide" in kinds:
         parts["wide"] = csv_files.load_wide(spark, raw)
     return parts
@@ -76,19 +79,24 @@ def run_preprocessing(spark: SparkSession, raw: str, out: str, step: str = STEP)
     """Phase 3, first half: raw files to the stored wide and feature tables.
 
     Features are computed per layout, as a column that one layout lacks is no gap in its
-    rows. Where both layouts have a feature row of one time, that of the long files stays.
+    rows. Where both layouts have a feature row of one time, that of the long files stays if
+    the step had a long reading; a step that was only filled gives way to the wide row.
     """
     layouts = load_layouts(spark, raw, step)
     store.write_by_date(union_by_name(*[
         part.withColumn("layout", F.lit(name)) for name, part in layouts.items()]),
         f"{out}/wide")
     stored = spark.read.parquet(f"{out}/wide").drop("date")
-    parts = {name: engineer_features(stored.where(F.col("layout") == name).select(*part.columns))
+    parts = {name: engineer_features(stored.where(F.col("layout") == name).select(*part.columns),
+                                     keep=[READ] if READ in part.columns else None)
              for name, part in layouts.items()}
     features = next(iter(parts.values()))
     if len(parts) == 2:
-        features = parts["long"].unionByName(
-            parts["wide"].join(parts["long"].select("timestamp"), "timestamp", "left_anti"))
+        read = parts["long"].where(READ).drop(READ)
+        filled = parts["long"].where(~F.col(READ)).drop(READ)
+        wide = parts["wide"].join(read.select("timestamp"), "timestamp", "left_anti")
+        features = read.unionByName(wide).unionByName(
+            filled.join(wide.select("timestamp"), "timestamp", "left_anti"))
     store.write_by_date(features, f"{out}/features")
     features = spark.read.parquet(f"{out}/features").drop("date")
     log.info("features for %d of %d wide rows; the rest lack an input or repeat a time",
