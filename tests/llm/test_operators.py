@@ -265,6 +265,21 @@ def test_warc(spark):
         assert head.startswith(b"WARC/1.1\r\n") and body[size:] == b"\r\n\r\n"
 
 
+def test_warc_headers(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://a/", "<p>a</p>", 200, {"etag": "x\r\n y"}), (2, "u", "b", None, None)],
+        "page_id long, url string, html string, status int, headers map<string,string>")
+    got = warc.derive(pages).collect()
+    plain = warc.derive(pages.select("page_id", "url", "html")).collect()
+    facts = {r.page_id: r for r in got if r.record_type == "metadata"}
+    bare = {r.page_id: r for r in plain if r.record_type == "metadata"}
+    assert facts[1].content == bare[1].content + "source-status: 200\nsource-etag: x y\n"
+    assert facts[2] == bare[2] and facts[1].record_id != bare[1].record_id
+    assert facts[1].payload_digest == "sha256:" + hashlib.sha256(facts[1].content.encode()).hexdigest()
+    assert [r for r in got if r.record_type != "metadata"] == \
+        [r for r in plain if r.record_type != "metadata"]
+
+
 def test_empty_tables(spark, docs):
     empty = docs.limit(0)
     path = work_path(spark, "empty")

@@ -8,13 +8,16 @@ as WARC/1.1 bytes.
 
 Defined results: null url or html is the empty string (an empty page has an empty
 conversion); a null page_id gives identifiers of its own from the content; rows that repeat
-give records that repeat; other columns of the input are ignored.
+give records that repeat. Further columns of the input are headers of the response: the
+metadata record has a line for each that is not null, and for each entry of a map, in the order
+of the columns, with line breaks in a value written as one space.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Markup to text: (pattern, replacement), in order. Patterns mean the same in Java and RE2.
 STEPS = [
@@ -47,11 +50,32 @@ def _record_id(kind: str, digest):
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
+def _headers(pages: DataFrame) -> list:
+    """One text for each further column: its lines `source-<name>: <value>`, or empty."""
+    def line(name, value):
+        return F.concat(F.lit("source-"), name, F.lit(": "),
+                        F.regexp_replace(value.cast("string"), r"\s*[\r\n]+\s*", " "), F.lit("\n"))
+    out = []
+    for field in pages.schema:
+        if field.name in ("page_id", "url", "html"):
+            continue
+        column = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, T.MapType):
+            lines = F.transform(F.map_entries(column), lambda e: F.coalesce(
+                line(e["key"].cast("string"), e["value"]), F.lit("")))
+            text = F.array_join(lines, "")
+        else:
+            text = line(F.lit(field.name), column)
+        out.append(F.coalesce(text, F.lit("")))
+    return out
+
+
 def derive(pages: DataFrame) -> DataFrame:
     """page_id, record_type, record_id, refers_to, target_uri, content_type, payload_digest,
     content_length (bytes) and content, for the response, conversion and metadata records."""
     base = pages.select(F.col("page_id"), F.coalesce("url", F.lit("")).alias("_url"),
-                        F.coalesce("html", F.lit("")).alias("_html"))
+                        F.coalesce("html", F.lit("")).alias("_html"),
+                        F.concat(*_headers(pages), F.lit("")).alias("_headers"))
     base = base.withColumn("_text", plain_text(F.col("_html")))
     base = base.withColumns({"_html_digest": _digest(F.col("_html")),
                              "_text_digest": _digest(F.col("_text"))})
@@ -60,7 +84,8 @@ def derive(pages: DataFrame) -> DataFrame:
     facts = F.concat(
         F.lit("source-type: text/html\nsource-digest: "), F.col("_html_digest"),
         F.lit("\nsource-length: "), F.octet_length("_html").cast("string"),
-        F.lit("\nconversion: "), F.col("_cid"), F.lit("\n"))
+        F.lit("\nconversion: "), F.col("_cid"), F.lit("\n"),
+        F.col("_headers"))
     base = base.withColumn("_facts", facts)
     base = base.withColumn("_facts_digest", _digest(F.col("_facts")))
     base = base.withColumn("_mid", _record_id("metadata", F.col("_facts_digest")))
