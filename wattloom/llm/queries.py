@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wattloom.llm import (byte_bpe, decontaminate, jaccard_join, line_dedup, quality_classifier,
-                          repair_ids, rule_ledger, token_counts, toxicity, warc)
+from wattloom.llm import (byte_bpe, decontaminate, i_match, jaccard_join, line_dedup,
+                          quality_classifier, repair_ids, rule_ledger, token_counts, toxicity,
+                          warc)
 from wattloom.llm.registry import query, table, texts
 from wattloom.llm.sql import CONTAMINATION, LINE_DEDUP, RULE_LEDGER, WARC
 from wattloom.session import work_path
@@ -90,3 +91,8 @@ def op9(spark, sf_dir):
 @query("op10_warc_derivatives", WARC)
 def op10(spark, sf_dir):
     return warc.derive(table(spark, sf_dir, "pages"))
+
+
+@query("op11_i_match")
+def op11(spark, sf_dir):
+    return i_match.compare(table(spark, sf_dir, "documents"))
