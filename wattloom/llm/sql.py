@@ -130,3 +130,42 @@ SELECT page_id, u, 'conversion', cid, rid, 'text/plain', td, strlen(t), t FROM r
 UNION ALL
 SELECT page_id, u, 'metadata', mid, rid, 'application/warc-fields', fd, strlen(f), f FROM r
 """
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex({_LOWER.format("coalesce(text, '')")},
+                                   '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+grams AS (
+  SELECT lang, array_to_string(w[i:i + d - 1], ' ') AS phrase, d
+  FROM starts, (VALUES (1), (2), (3), (4)) sizes(d) WHERE i + d - 1 <= len(w)),
+f AS (SELECT lang, phrase, d, count(*) AS n FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(n) AS n FROM f WHERE d = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE n >= 30),
+cuts AS (
+  SELECT lang, phrase, n AS a, d, w, unnest(range(1, d)) AS k FROM often WHERE d >= 2),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.n AS l, r.n AS r,
+         (2000000 * c.a::HUGEINT) // (l.n::HUGEINT + r.n) AS score
+  FROM cuts c JOIN often l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.d], ' ')),
+weakest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+spans AS (
+  SELECT lang, w, n, d, unnest(range(1, d + 1)) AS i FROM often WHERE d >= 3),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(n) AS most,
+         count(*) FILTER (m = d - 1 AND i = 2) AS left_words,
+         count(*) FILTER (m = d - 1 AND i = 1) AS right_words
+  FROM spans, (VALUES (2), (3)) sizes(m) WHERE m < d AND i + m - 1 <= d GROUP BY ALL)
+SELECT lang, row_number() OVER (
+         PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, totals.n::BIGINT AS n, score::BIGINT AS score,
+       coalesce(left_words, 0) AS left_words, coalesce(right_words, 0) AS right_words
+FROM weakest LEFT JOIN inside USING (lang, phrase) JOIN totals USING (lang)
+WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT
+QUALIFY rank <= 2000
+"""
