@@ -5,11 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wattloom.llm import (byte_bpe, collocations, decontaminate, i_match, jaccard_join,
-                          line_dedup, quality_classifier, repair_ids, rule_ledger, token_counts,
-                          toxicity, warc)
+from wattloom.llm import (byte_bpe, collocations, decontaminate, divergence, i_match,
+                          jaccard_join, line_dedup, quality_classifier, repair_ids, rule_ledger,
+                          token_counts, toxicity, warc)
 from wattloom.llm.registry import query, table, texts
-from wattloom.llm.sql import COLLOCATIONS, CONTAMINATION, LINE_DEDUP, RULE_LEDGER, WARC
+from wattloom.llm.sql import COLLOCATIONS, CONTAMINATION, DIVERGENCE, LINE_DEDUP, RULE_LEDGER, WARC
 from wattloom.session import work_path
 
 QUALITY_CUT, TOXIC_CUT = 0.3, 0.7
@@ -101,3 +101,8 @@ def op11(spark, sf_dir):
 @query("op12_collocations", COLLOCATIONS)
 def op12(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"), top=2000)
+
+
+@query("op13_source_divergence", DIVERGENCE)
+def op13(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))

@@ -169,3 +169,44 @@ FROM weakest LEFT JOIN inside USING (lang, phrase) JOIN totals USING (lang)
 WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT
 QUALIFY rank <= 2000
 """
+
+_FAR = "(({0} - {1}) * ({0} - {1})) // ({0} + {1})"
+
+DIVERGENCE = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+words AS (
+  SELECT doc_id, lang, source,
+         unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (
+  SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM d),
+dense AS (
+  SELECT g.lang, g.source, k.term, count(w.doc_id) AS n
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN words w ON w.lang = g.lang AND w.source = g.source AND w.term = k.term GROUP BY ALL),
+p AS (
+  SELECT *, 1 + (1000000000 * (n + 2)::HUGEINT)
+         // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM dense),
+lang_n AS (SELECT lang, term, sum(n) AS n FROM dense GROUP BY ALL),
+q AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 2)::HUGEINT)
+         // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q FROM lang_n),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum({_FAR.format("a.p", "b.p")}) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+above AS (
+  SELECT p.lang, p.source, 'term' AS part, p.term AS item, {_FAR.format("p.p", "q.q")} AS value
+  FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p.p > q.q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM above))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
