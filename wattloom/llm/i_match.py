@@ -36,6 +36,7 @@ from wattloom.operators.ordered import row_index
 SEEDS, SCALES, TOP_SCALE = 16, 3, 13  # levels have four bits, so base + SCALES - 1 <= 15
 #: Broadcast bound of the lexicon, 8 bytes a term.
 BROADCAST_TERMS = 2_000_000
+KEY = ["id", "tie"]
 _SPLIT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -108,9 +109,7 @@ def fingerprint(rows: DataFrame, keys: list[str], texts: list[str], words: DataF
              for i in range(len(texts))]
     grouped = terms.groupBy(*keys).agg(*[c.alias(f"_{kind}{i}") for i, pair in enumerate(lists)
                                          for kind, c in zip("bs", pair, strict=True)])
-    grouped = grouped.withColumnsRenamed({k: f"_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    joined = rows.join(grouped, same, "left").drop(*[f"_{k}" for k in keys])
+    joined = rows.join(grouped, keys, "left")
     for i, t in enumerate(texts):
         joined = joined.withColumn(f"_t{i}", F.expr(
             f"array_sort(coalesce(CASE WHEN size(_b{i}) >= {thin} THEN _b{i}"
@@ -139,55 +138,48 @@ def likeness(a: str, b: str) -> Column:
     return F.expr(f"CASE WHEN {a}.full = {b}.full THEN 1D ELSE {counts} END")
 
 
-def in_order(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(places, rows): the documents in ascending doc_id order. `places` has doc_id, tie,
-    n_chars, copies and the same of the document before (prev_id, prev_tie, prev_chars; the
-    first comes after the last); `rows` adds the text, one row per place."""
+def in_order(docs: DataFrame) -> DataFrame:
+    """The documents in ascending doc_id order, one row for equal rows: doc_id, text, n_chars,
+    copies, a key (id, tie) without nulls, and the key and n_chars of the document before
+    (prev_id, prev_tie, prev_chars; the first comes after the last)."""
+    null = F.col("doc_id").isNull()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    tie = F.xxhash64("text").alias("tie")
-    ids = (rows.select("doc_id", tie, F.char_length("text").alias("n_chars"))
-           .groupBy("doc_id", "tie").agg(F.max("n_chars").alias("n_chars"),
-                                         F.count(F.lit(1)).alias("copies")))
+    keyed = rows.select(F.coalesce("doc_id", F.lit(0)).alias("id"),
+                        F.xxhash64("text", null).alias("tie"), "doc_id", "text")
+    ids = (keyed.select("id", "tie", "doc_id", F.char_length("text").alias("n_chars"))
+           .groupBy("id", "tie", "doc_id").agg(F.max("n_chars").alias("n_chars"),
+                                               F.count(F.lit(1)).alias("copies")))
     indexed = row_index(ids, ["doc_id", "tie"], "at")
     total = max(indexed.count(), 1)
-    before = indexed.select(((F.col("at") + 1) % total).alias("at"),
-                            F.col("doc_id").alias("prev_id"), F.col("tie").alias("prev_tie"),
-                            F.col("n_chars").alias("prev_chars"))
+    before = indexed.select(((F.col("at") + 1) % total).alias("at"), F.col("id").alias("prev_id"),
+                            F.col("tie").alias("prev_tie"), F.col("n_chars").alias("prev_chars"))
     places = stored(indexed.join(before, "at").drop("at"), "places")
-    texts = rows.select(F.col("doc_id").alias("_id"), F.col("text"), tie.alias("_tie"))
-    placed = places.join(texts, F.col("doc_id").eqNullSafe(F.col("_id"))
-                         & (F.col("tie") == F.col("_tie"))).drop("_id", "_tie")
-    return places, placed
+    first = F.expr("row_number() OVER (PARTITION BY id, tie ORDER BY n_chars)")
+    return (places.join(keyed.select("id", "tie", "text"), KEY).withColumn("_nth", first)
+            .where("_nth = 1").drop("_nth"))
 
 
 def edited_by_next(docs: DataFrame, parts: int = 4) -> DataFrame:
-    """doc_id, tie, text, `edited`: the last floor(n / parts) code points of a text replaced
-    by the first as many of the next document, and the columns of `in_order`."""
-    _, rows = in_order(docs)
-    rows = rows.withColumn("_nth", F.expr(
-        "row_number() OVER (PARTITION BY doc_id, tie ORDER BY n_chars)")
-    ).where("_nth = 1").drop("_nth")
-    heads = rows.select(F.col("prev_id").alias("_id"), F.col("prev_tie").alias("_tie"),
+    """The rows of `in_order` with `edited`: the last floor(n / parts) code points of a text
+    replaced by the first as many of the next document."""
+    rows = in_order(docs)
+    heads = rows.select(F.col("prev_id").alias("id"), F.col("prev_tie").alias("tie"),
                         F.expr(f"left(text, prev_chars div {parts})").alias("_head"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
-    return rows.join(heads, same).select(*rows.columns, F.expr(
-        f"concat(left(text, n_chars - cast(n_chars div {parts} as int)), _head)").alias("edited"))
+    return rows.join(heads, KEY).withColumn("edited", F.expr(
+        f"concat(left(text, n_chars - cast(n_chars div {parts} as int)), _head)")).drop("_head")
 
 
 def compare(docs: DataFrame, idf_min: float = 3.0, idf_max: float = 7.6) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and
     near_next of every document."""
     words = lexicon(docs.select(F.col("text").cast("string").alias("text")), idf_min, idf_max)
-    keys = ["doc_id", "tie"]
-    named = fingerprint(edited_by_next(docs), keys, ["text", "edited"], words).select(
-        *keys, "n_chars", "copies", "prev_id", "prev_tie", "text_name", "edited_name",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    named = stored(named, "names")
-    after = named.select(F.col("prev_id").alias("_id"), F.col("prev_tie").alias("_tie"),
+    named = stored(fingerprint(edited_by_next(docs), KEY, ["text", "edited"], words).select(
+        "doc_id", *KEY, "n_chars", "copies", "prev_id", "prev_tie", "text_name", "edited_name",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")), "names")
+    after = named.select(F.col("prev_id").alias("id"), F.col("prev_tie").alias("tie"),
                          F.col("text_name").alias("next_name"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
-    return named.join(after, same).select(
+    return named.join(after, KEY).select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
         as_string("text_name").alias("fingerprint"),
         as_string("edited_name").alias("edited_fingerprint"),
