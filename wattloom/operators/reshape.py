@@ -41,7 +41,7 @@ def pivot_mean(long: DataFrame, keys: list[str], extra: list[str] | None = None)
     rows = long.select("timestamp", reading_key().alias("_key"), "value").where(
         F.col("_key").isin(keys) & F.col("timestamp").isNotNull())
     grouped = rows.groupBy("timestamp")
-    if len(keys) > WIDE_LIMIT:
+    if len(keys) > WIDE_LIMIT or not keys:
         return grouped.pivot("_key", keys).agg(F.avg("value"))
     return grouped.agg(*[
         F.avg(F.when(F.col("_key") == F.lit(k), F.col("value"))).alias(k) for k in keys])

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.fixed_values import LEARNING_FRACTIONS, PERMUTATION_REPEATS, STEP
-from wattloom.operators import compare, evaluate, explain, ordered, profiles, quality, train
+from wattloom.operators import (
+    compare, evaluate, explain, ordered, profiles, quality, sweep, train)
 from wattloom.operators.clean import union_by_name
 from wattloom.operators.features import FEATURES, engineer_features
-from wattloom.operators.reshape import to_wide
 from wattloom.operators.split import prepare_split
+from wattloom.session import durable
 from wattloom.sources import csv_files, external, store
 from wattloom.streaming import ingest
 
@@ -55,41 +56,42 @@ def run_ingest(spark: SparkSession, messages: str, out: str) -> None:
     ingest.ingest(spark, messages, out)
 
 
-def build_features(long: DataFrame, step: str = STEP, keys: list[str] | None = None) -> DataFrame:
-    """Long readings to features; lazy, one plan. Without `keys`, all sensors in the data."""
-    return engineer_features(to_wide(long, step, keys))
+def build_features(long: DataFrame, step: str = STEP) -> DataFrame:
+    """Long readings to the features over all sensors in them."""
+    return sweep.swept_features(durable(sweep.bin_means(sweep.tick_means(long), step)), step)
 
 
-def load_layouts(spark: SparkSession, raw: str, step: str = STEP) -> dict[str, DataFrame]:
-    """The wide tables of a raw CSV folder by layout. Long files are resampled and filled,
-    with a column for every sensor in them, and beside wide files also with READ; wide ones
-    are taken as they are."""
-    found = csv_files.headers(spark, csv_files.list_csv(spark, raw))
-    kinds = {csv_files.detect_format(n) for n in found.values()}
+def run_preprocessing(spark: SparkSession, raw: str, out: str, step: str = STEP) -> DataFrame:
+    """Phase 3, first half: raw files to stored readings and the feature table.
+
+    Long files are binned and swept, for any number of sensors of any names. Wide files are
+    taken as they are. Features are computed per header, as a column that one file lacks is
+    no gap in its rows. Where both layouts have a feature row of one time, that of the long
+    files stays if the step had a long reading; a step that was only filled gives way to the
+    wide row. Stored are `binned` (a row per sensor and bin), `wide/0`, `wide/1` ... (one for
+    each header) and `features`.
+    """
+    known = csv_files.folder_headers(spark, raw)
+    kinds = {csv_files.detect_format(n) for n in known.values()}
+    if not kinds:
+        raise FileNotFoundError(f"no readable CSV files in {raw}")
     parts = {}
     if kinds & {"long", "headerless"}:
-        parts["long"] = to_wide(csv_files.load_long(spark, raw), step,
-                                mark=READ if "wide" in kinds else None)
+        ticks = sweep.tick_means(csv_files.load_long(spark, raw, known=known))
+        binned = store.rewritten(sweep.bin_means(ticks, step), f"{out}/binned")
+        parts["long"] = sweep.swept_features(binned, step, mark=READ)
     if "wide" in kinds:
-        parts["wide"] = csv_files.load_wide(spark, raw)
-    return parts
-
-
-def run_preprocessing(spark: SparkSession, raw: str, out: str, step: str = STEP) -> DataFrame:
-    """Phase 3, first half: raw files to the stored wide and feature tables.
-
-    Features are computed per layout, as a column that one layout lacks is no gap in its
-    rows. Where both layouts have a feature row of one time, that of the long files stays if
-    the step had a long reading; a step that was only filled gives way to the wide row.
-    """
-    layouts = load_layouts(spark, raw, step)
-    store.write_by_date(union_by_name(*[
-        part.withColumn("layout", F.lit(name)) for name, part in layouts.items()]),
-        f"{out}/wide")
-    stored = spark.read.parquet(f"{out}/wide").drop("date")
-    parts = {name: engineer_features(stored.where(F.col("layout") == name).select(*part.columns),
-                                     keep=[READ] if READ in part.columns else None)
-             for name, part in layouts.items()}
+        shapes = []
+        for i, shape in enumerate(csv_files.load_wide_shapes(spark, raw, known)):
+            shape = store.rewritten(shape, f"{out}/wide/{i}")
+            shapes.append(engineer_features(shape))
+            rows = shape.count()
+            log.info("wide header %d: %d of %d rows lack an input", i,
+                     rows - shapes[-1].count(), rows)
+        if shapes:
+            parts["wide"] = union_by_name(*shapes)
+    if not parts:
+        raise ValueError(f"no time column in {raw}")
     features = next(iter(parts.values()))
     if len(parts) == 2:
         read = parts["long"].where(READ).drop(READ)
@@ -97,11 +99,7 @@ def run_preprocessing(spark: SparkSession, raw: str, out: str, step: str = STEP)
         wide = parts["wide"].join(read.select("timestamp"), "timestamp", "left_anti")
         features = read.unionByName(wide).unionByName(
             filled.join(wide.select("timestamp"), "timestamp", "left_anti"))
-    store.write_by_date(features, f"{out}/features")
-    features = spark.read.parquet(f"{out}/features").drop("date")
-    log.info("features for %d of %d wide rows; the rest lack an input or repeat a time",
-             features.count(), stored.count())
-    return features
+    return store.rewritten(features.drop(READ), f"{out}/features")
 
 
 def run_split(spark: SparkSession, out: str) -> None:

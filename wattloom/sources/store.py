@@ -20,6 +20,12 @@ def write_by_date(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "
      .write.mode(mode).partitionBy("date").parquet(path))
 
 
+def rewritten(df: DataFrame, path: str) -> DataFrame:
+    """`df` written by date and read again, also if it has no rows."""
+    write_by_date(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_days(spark: SparkSession, path: str, first: str | None = None,
               last: str | None = None) -> DataFrame:
     """Rows of a date range; the bounds prune partitions."""
