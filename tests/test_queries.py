@@ -21,7 +21,8 @@ SELECTED = [
     "m12_learning_curve", "m13_residual_moments", "m14_permutation_importance",
     "m15_feature_power", "s03_load_wide", "s04_load_long", "s05_headerless",
     "s08_load_smart_home", "st01_ingest", "st03_status_check", "st04_running_counters",
-    "st06_stream_bins", "k02_build_features",
+    "st06_stream_bins", "k02_build_features", "k02_all_sensors", "k02_mixed_folder",
+    "a01_sensors_as_rows", "a03_a04_a05_over_all_sensors",
 ]
 NAMES = sorted(QUERIES) if os.environ.get("WATTLOOM_ALL") else SELECTED
 

@@ -23,7 +23,7 @@ def write_by_date(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "
 def rewritten(df: DataFrame, path: str) -> DataFrame:
     """`df` written by date and read again, also if it has no rows."""
     write_by_date(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).drop("date")
 
 
 def read_days(spark: SparkSession, path: str, first: str | None = None,
