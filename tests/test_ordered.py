@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wattloom.operators import distribution, ordered
+from wattloom.operators import distribution, ordered, selection
 
 
 def numbers(spark, n, hot=0.34, parts=7):
@@ -83,3 +83,53 @@ def test_histogram_lists_empty_bins(spark):
     rows = distribution.equal_width_histogram(df, ["g"], "v", 5).orderBy("g", "bin").collect()
     assert [r["n"] for r in rows if r["g"] == "x"] == list(np.histogram(values, 5)[0])
     assert sum(r["n"] for r in rows if r["g"] == "one") == 1
+
+
+def sizes(df, tag):
+    return {r[tag]: r["count"] for r in df.groupBy(tag).count().collect()}
+
+
+@pytest.mark.parametrize("inside,accuracy", [(20_000, 10_000), (30, 16)])
+def test_exact_selection_on_any_types(spark, monkeypatch, inside, accuracy):
+    """Splits in the order of Spark's own sort, with few rows ordered and poor sketches."""
+    monkeypatch.setattr(selection, "INSIDE", inside)
+    monkeypatch.setattr(selection, "ACCURACY", accuracy)
+    df = spark.range(400).select(
+        F.expr("CASE WHEN id % 7 = 0 THEN NULL WHEN id % 5 = 0 THEN 'tie' "
+               "ELSE concat('key ', id % 40, 'ü') END").alias("s"),
+        F.expr("CASE WHEN id % 11 = 0 THEN double('nan') WHEN id % 13 = 0 THEN NULL "
+               "ELSE (id * 7919 % 101) / 7.0 END").alias("d"),
+        F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0, id * 37 % 50)").alias("t"),
+        F.expr("id * 1152921504606846 - 9223372036854775807").alias("big"), "id").repartition(5)
+    for order in (["s", "d", "id"], ["d", "t", "id"], ["t", "big"], ["big"]):
+        listed = [r["id"] for r in df.orderBy(*order).select("id").collect()]
+        tagged = {r["id"]: r["fold"] for r in ordered.contiguous_folds(df, order, 3).collect()}
+        assert [tagged[i] for i in listed] == [0] * 134 + [1] * 133 + [2] * 133, order
+
+
+@pytest.mark.parametrize("inside", [20_000, 40])
+def test_sizes_are_exact_on_ties(spark, monkeypatch, inside):
+    monkeypatch.setattr(selection, "INSIDE", inside)
+    rows = [(1, "a", i % 4) for i in range(200)] + [(2, "same", 0)] * 300 + [(3, "z", 1)] * 3
+    df = spark.createDataFrame(rows, "day int, x string, y int").repartition(4)
+    split = ordered.temporal_split(df, ["day"])
+    assert sizes(split, "split") == {"train": 402, "test": 101}
+    assert split.where("split = 'train' AND day = 3").count() == 0
+    assert sorted(map(tuple, split.drop("split").collect())) == sorted(rows)  # no row changes
+    folds = ordered.contiguous_folds(df, ["day"])
+    assert sizes(folds, "fold") == {0: 101, 1: 101, 2: 101, 3: 100, 4: 100}
+    tagged, planned = ordered.prefix_rank(df, ["day"], [0.1, 0.55, 1.0])
+    found = sizes(tagged, "prefix")
+    assert planned == [50, 276, 503] and [found[0], found[0] + found[1]] == [50, 276]
+
+
+def test_sizes_by_date_alone_without_a_shuffle_of_the_rows(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    by_day = orders.withColumn("day", F.date_trunc("month", "o_orderdate"))
+    tagged = ordered.contiguous_folds(by_day, ["day"])
+    assert sizes(tagged, "fold") == {i: 3000 for i in range(5)}
+    bounds = tagged.groupBy("fold").agg(F.min("day").alias("a"), F.max("day").alias("b")).orderBy(
+        "fold").collect()
+    assert all(x["b"] <= y["a"] for x, y in zip(bounds, bounds[1:]))
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan and "Sort" not in plan

@@ -1,19 +1,18 @@
 """Global order without a single-task sort.
 
-`row_index` gives every row its position in a total order; `cut_rows` finds the
-rows at a few positions, so that splits by position become plain filters on the
-full table, which then needs no shuffle at all.
+`row_index` gives every row its position in a total order. Splits by position need only the
+rows at a few positions (`selection.cuts_at`) and then tag every row where it is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.fixed_values import FOLDS, TEST_RATIO
+from wattloom.operators.selection import count_passed, cuts_at
 from wattloom.session import durable
 
 _ROWS_PER_TASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
@@ -40,29 +39,6 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "row_id") -> Data
             .drop("_task", "_start", "_slot"))
 
 
-def cut_rows(df: DataFrame, order: Sequence[str],
-             positions: Callable[[int], Sequence[int]]) -> tuple[int, dict[int, tuple]]:
-    """(row count, order keys of the rows at `positions(row count)`, a handful).
-
-    Only the order columns are read and shuffled, once.
-    """
-    indexed = row_index(df.select(*order), order)
-    n = indexed.count()
-    wanted = sorted({p for p in positions(n) if 0 <= p < n})
-    if not wanted:
-        return n, {}
-    rows = indexed.where(F.col("row_id").isin(wanted)).collect()
-    return n, {r["row_id"]: tuple(r[c] for c in order) for r in rows}
-
-
-def sorts_before(df: DataFrame, order: Sequence[str], cut: tuple) -> Column:
-    """True for rows that come before the cut in the order (lexicographic)."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    here = F.struct(*[F.col(c) for c in order])
-    there = F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in zip(order, cut)])
-    return here < there
-
-
 def split_position(n: int, test_ratio: float = TEST_RATIO) -> int:
     return int(n * (1 - test_ratio))
 
@@ -73,26 +49,21 @@ def fold_starts(n: int, folds: int = FOLDS) -> list[int]:
     return [sum(sizes[:i]) for i in range(folds)]
 
 
-def _steps(df: DataFrame, order: Sequence[str], positions: Sequence[int],
-           cuts: dict[int, tuple]) -> Column:
-    """How many of the positions lie at or before the row."""
-    passed = [(~sorts_before(df, order, cuts[p])).cast("int") for p in positions if p in cuts]
-    return reduce(lambda a, b: a + b, passed, F.lit(0))
-
-
 def temporal_split(df: DataFrame, order: Sequence[str], test_ratio: float = TEST_RATIO,
                    name: str = "split") -> DataFrame:
-    """Tag the earliest rows 'train' and the rest 'test'; never a random split."""
-    n, cuts = cut_rows(df, order, lambda n: [split_position(n, test_ratio)])
-    late = _steps(df, order, [split_position(n, test_ratio)], cuts)
-    return df.withColumn(name, F.when(late == 0, "train").otherwise("test"))
+    """Tag the earliest rows 'train' and the rest 'test'; never a random split. Sizes are
+    exact also where rows tie at the cut."""
+    n, cuts = cuts_at(df, order, plan=lambda n: [split_position(n, test_ratio)])
+    late = count_passed(df, order, [split_position(n, test_ratio)], cuts, "_late")
+    return late.withColumn("_late", F.when(F.col("_late") == 0, "train").otherwise(
+        "test")).withColumnRenamed("_late", name)
 
 
 def contiguous_folds(df: DataFrame, order: Sequence[str], folds: int = FOLDS,
                      name: str = "fold") -> DataFrame:
-    """Tag unshuffled, contiguous blocks 0..folds-1."""
-    n, cuts = cut_rows(df, order, lambda n: fold_starts(n, folds)[1:])
-    return df.withColumn(name, _steps(df, order, fold_starts(n, folds)[1:], cuts))
+    """Tag unshuffled, contiguous blocks 0..folds-1 of exact sizes."""
+    n, cuts = cuts_at(df, order, plan=lambda n: fold_starts(n, folds)[1:])
+    return count_passed(df, order, fold_starts(n, folds)[1:], cuts, name)
 
 
 def prefix_rank(df: DataFrame, order: Sequence[str], fractions: Sequence[float],
@@ -102,9 +73,9 @@ def prefix_rank(df: DataFrame, order: Sequence[str], fractions: Sequence[float],
     A row with tag p belongs to every prefix whose index is at least p; rows outside
     all prefixes get len(fractions). Returns the table and the prefix sizes.
     """
-    n, cuts = cut_rows(df, order, lambda n: [int(n * f) for f in fractions])
+    n, cuts = cuts_at(df, order, plan=lambda n: [int(n * f) for f in fractions])
     sizes = [int(n * f) for f in fractions]
-    return df.withColumn(name, _steps(df, order, sizes, cuts)), sizes
+    return count_passed(df, order, sizes, cuts, name), sizes
 
 
 def prefix_rows(df: DataFrame, order: Sequence[str], fraction: float) -> DataFrame:
