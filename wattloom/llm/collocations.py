@@ -14,8 +14,7 @@ a round may index anew what a lost executor held.
 A phrase is frequent only if all its parts are. So the lengths are counted one after the
 other, and a round extends only into phrases whose parts may be frequent. That is read from
 a bitmap of hashes of `1 << bits` bits, whatever the corpus; equal hashes only let more
-phrases through. Sums of the earlier rounds are kept by hash for these bitmaps alone; the
-last round counts the phrases themselves, whose sums are final.
+phrases through. What is summed are the phrases themselves.
 
 Defined results: null text has no words, null lang is `und`; empty tables give no phrases;
 rows that repeat, also with one doc_id, each count. Other columns are not read. Words are
@@ -27,6 +26,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -156,14 +156,17 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[byte
     as many, and one text."""
     open_, held = {}, 0
     for batch in batches:
-        for lang, text in zip(raw(batch.column(0)), raw(batch.column(1)), strict=True):
-            shard = open_.setdefault(lang, Shard())
-            held += shard.add(text or b"")
-            full = [lang] if shard.held >= most else []
-            for key in full or (list(open_) if held >= 2 * most else []):
-                held -= open_[key].held
-                yield key, open_.pop(key)
-    yield from open_.items()
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            for lang, text in zip(raw(part.column(0)), raw(part.column(1)), strict=True):
+                shard = open_.setdefault(lang, Shard())
+                held += shard.add(text or b"")
+                full = [lang] if shard.held >= most else []
+                for key in full or (list(open_) if held >= 2 * most else []):
+                    held -= open_[key].held
+                    yield key, open_.pop(key)
+    while open_:
+        yield open_.popitem()
 
 
 def _each_shard(docs: DataFrame, schema: str, most: int,
@@ -259,6 +262,22 @@ class Search:
         return _strings(pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())))
 
 
+def _names(phrases: DataFrame, width: int) -> DataFrame:
+    """The hashes of phrases of one length."""
+    def run(batches):
+        for batch in batches:
+            by_lang = defaultdict(list)
+            for lang, phrase in zip(raw(batch.column(0)), raw(batch.column(1)), strict=True):
+                by_lang[lang].append(phrase)
+            found = [np.empty(0, np.uint64)]
+            for lang, each in by_lang.items():
+                hashes = _hashes(lang, each)
+                found.append(hashes if width == 1 else phrase_hashes(
+                    np.arange(1, len(hashes) + 1).reshape(-1, width), hashes))
+            yield pa.RecordBatch.from_pydict({"hash": np.concatenate(found).view(np.int64)})
+    return phrases.select("lang", "phrase").mapInArrow(run, "hash long")
+
+
 def phrase_counts(docs: DataFrame, least: int = 30, shard_words: int = 1_000_000,
                   bits: int = 26) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, width, n) of all phrases of 1 to LONGEST words that occur `least` times
@@ -266,44 +285,24 @@ def phrase_counts(docs: DataFrame, least: int = 30, shard_words: int = 1_000_000
     words = stored(word_counts(docs, shard_words), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= least)
+    maps, parts = [], [frequent.select("lang", "phrase", F.lit(1).alias("width"), "n")]
+    for width in range(2, LONGEST + 1):
+        maps.append(Bitmap(_names(frequent, width - 1), bits))
 
-    def word_names(batches):
-        for batch in batches:
-            langs = raw(batch.column(0))
-            each = raw(batch.column(1))
-            by_lang = defaultdict(list)
-            for lang, word in zip(langs, each, strict=True):
-                by_lang[lang].append(word)
-            yield pa.RecordBatch.from_pydict({"hash": np.concatenate(
-                [_hashes(k, v) for k, v in by_lang.items()] or [np.empty(0, np.uint64)])
-                .view(np.int64)})
-    maps = [Bitmap(frequent.select("lang", "phrase").mapInArrow(word_names, "hash long"), bits)]
-    for width in range(2, LONGEST):
-        def sums(lang, shard, width=width, maps=tuple(maps)):
+        def counts(lang, shard, width=width, maps=tuple(maps)):
             search = Search(lang, shard, maps)
             for found in search.lengths(width):
                 pass
-            yield {"hash": phrase_hashes(found.words, search.hashes).view(np.int64),
-                   "n": found.count}
-        counted = _each_shard(docs, "hash long, n long", shard_words, sums)
-        maps.append(Bitmap(counted.groupBy("hash").agg(F.sum("n").alias("n"))
-                           .where(F.col("n") >= least), bits))
-
-    def named(lang, shard):
-        search = Search(lang, shard, maps)
-        for width, found in enumerate(search.lengths(LONGEST), 2):
             if len(found.count):
                 yield {"lang": _repeated(lang, len(found.count)),
-                       "phrase": search.phrases(found),
-                       "width": np.full(len(found.count), width, np.int32), "n": found.count}
-    longer = (_each_shard(docs, "lang string, phrase string, width int, n long", shard_words, named)
-              .groupBy("lang", "phrase", "width").agg(F.sum("n").alias("n"))
-              .where(F.col("n") >= least))
-    longer = stored(longer, "phrases")
+                       "phrase": search.phrases(found), "n": found.count}
+        counted = _each_shard(docs, "lang string, phrase string, n long", shard_words, counts)
+        frequent = stored(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+                          .where(F.col("n") >= least), "phrases")
+        parts.append(frequent.select("lang", "phrase", F.lit(width).alias("width"), "n"))
     for bitmap in maps:
         bitmap.shared.unpersist()
-    singles = frequent.select("lang", "phrase", F.lit(1).alias("width"), "n")
-    return singles.unionByName(longer), totals
+    return reduce(DataFrame.unionByName, parts), totals
 
 
 def collocations(docs: DataFrame, top: int = 2000, least: int = 30, cover: int = 80,
