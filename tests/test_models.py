@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattloom.functions import pvalues
-from wattloom.operators import compare, evaluate, explain, mlp, ordered, split, train
+from wattloom.operators import compare, evaluate, explain, mlp, ordered, permutation, split, train
 from wattloom.session import work_path
 
 
@@ -156,14 +156,42 @@ def test_partners_are_permutations(spark, n):
             assert sorted(x["other"][1] for x in mine) == [float(i + 1000) for i in range(n)]
 
 
-def test_wide_products_stay_exact(spark):
-    n, a = 3_000_000_019, 2_999_999_937
-    x = spark.createDataFrame([(n - 2,), (12345,)], "x long").select(
-        explain._times_mod(F.col("x"), a, n).alias("v")).collect()
-    assert [r["v"] for r in x] == [(n - 2) * a % n, 12345 * a % n]
-
-
-@pytest.mark.parametrize("mode", ["affine", "hash"])
+def permuted(n, repeat, inverse=False):
+    out = permutation._apply(np.arange(n), n, 42, repeat, inverse)
+    while (out >= n).any():
+        out = np.where(out < n, out, permutation._apply(out, n, 42, repeat, inverse))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 97, 1000, 4999])
+def test_keyed_permutations(spark, n):
+    rows = spark.range(n).withColumn("repeat", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    there = permutation.permute(rows, "id", "at", n, 42, 3)
+    back = permutation.permute(there, "at", "back", n, 42, 3, inverse=True).collect()
+    assert all(r["back"] == r["id"] for r in back)
+    for repeat in range(3):
+        got = [r["at"] for r in sorted(back) if r["repeat"] == repeat]
+        assert sorted(got) == list(range(n)) and got == permuted(n, repeat).tolist()
+
+
+def test_permutations_look_random_on_periodic_data():
+    n = 50_000
+    for repeat in range(5):
+        at = permuted(n, repeat)
+        for period in (2, 7, 24, 288):
+            # The share of rows whose partner has the same phase, and of phases that follow.
+            same = np.mean(at % period == np.arange(n) % period)
+            assert abs(same - 1 / period) < 5 * (1 / period / n) ** 0.5
+        assert abs(np.corrcoef(at, np.arange(n))[0, 1]) < 0.03
+        assert len(np.unique((at[1:] - at[:-1]) % n)) > n / 3
+    big = (1 << 45) + 12345  # beyond any product bound of a stride
+    x = np.arange(big - 1000, big)
+    a, b = permutation.sides(big)
+    assert 0 <= a * b - big <= a
+    assert (permutation._apply(permutation._apply(x, big, 1, 0, False), big, 1, 0, True) == x).all()
+
+
+@pytest.mark.parametrize("mode", ["keyed", "hash"])
 def test_importance_against_brute_force(spark, mode):
     df, x, y = design(spark, 300)
     model = train.LinearFormula([2.0, 0.0], 0.5)
@@ -175,12 +203,11 @@ def test_importance_against_brute_force(spark, mode):
     out = {r["feature"]: r for r in explain.importance_summary(raw).collect()}
     assert out["b"]["mean_importance"] == 0.0 and out["b"]["p_value"] == 1.0
     assert out["a"]["rank"] == 1 and out["a"]["significant"]
-    if mode == "affine":
+    if mode == "keyed":
         base = ((y - 0.5 - 2 * x[:, 0]) ** 2).sum()
         drops = []
         for r in range(4):
-            a, b = explain.affine(300, 42, r)
-            other = x[(np.arange(300) * a + b) % 300, 0]
+            other = x[permuted(300, r), 0]
             drops.append((((y - 0.5 - 2 * other) ** 2).sum() - base) / (np.var(y) * 300))
         assert out["a"]["mean_importance"] == pytest.approx(np.mean(drops))
         assert out["a"]["std_importance"] == pytest.approx(np.std(drops))

@@ -19,7 +19,7 @@ SELECTED = [
     "f10_json_decode", "f12_topics", "m02_linear_regression", "m05_two_sample_ks",
     "m07_evaluate", "m08_paired_t_test", "m09_train_test_gap", "m10_cv_stability",
     "m12_learning_curve", "m13_residual_moments", "m14_permutation_importance",
-    "m15_feature_power", "s03_load_wide", "s04_load_long", "s05_headerless",
+    "m15_feature_power", "m14_fitted_fifty_repeats", "m15_fitted_fifty_repeats", "s03_load_wide", "s04_load_long", "s05_headerless",
     "s08_load_smart_home", "st01_ingest", "st03_status_check", "st04_running_counters",
     "st06_stream_bins", "k02_build_features", "k02_all_sensors", "k02_mixed_folder",
     "a01_sensors_as_rows", "a03_a04_a05_over_all_sensors",

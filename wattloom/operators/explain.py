@@ -1,13 +1,12 @@
 """Permutation importance and feature-power decomposition.
 
-A permutation is a bijection of the dense row numbers, so shuffling a column is an
-equi-join on unique keys: no sort of the table, no hot key. One join per repeat
-brings a whole partner row; the feature variants are then built inside the row.
+A permutation is a bijection of the dense row numbers (`permutation.permute`), so shuffling
+a column is an equi-join on unique keys: no sort of the table, no hot key. A whole row is
+moved once per repeat; the feature variants are then built inside the row.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,27 +16,10 @@ from wattloom.fixed_values import PERMUTATION_REPEATS, SEED, SIGNIFICANCE
 from wattloom.functions.columns import half_even
 from wattloom.functions.pvalues import t_upper
 from wattloom.operators.ordered import row_index
+from wattloom.operators.permutation import permute
 
 Predictor = Callable[[DataFrame, str], DataFrame]  # adds a prediction column
-
-
-def affine(n: int, seed: int, repeat: int, pos: int = 0) -> tuple[int, int]:
-    """(a, b) of the bijection i -> (a * i + b) mod n for a repeat and a column.
-
-    Plain arithmetic, so that the same shuffle can be written in SQL: a is the first
-    number coprime to n from a mixed starting point on.
-    """
-    mixed = (seed * 1000003 + repeat * 7919 + pos * 104729 + 12345) * 2654435761
-    top = max(1, min(n - 1, (1 << 61) // max(n, 1)))  # a * i must stay within 64 bits
-    a = 1 + mixed % top
-    while math.gcd(a, n) != 1:
-        a += 1
-    return a, (mixed // 1009) % max(n, 1)
-
-
-def permuted(i: Column, n: int, seed: int, repeat: int, pos: int = 0) -> Column:
-    a, b = affine(n, seed, repeat, pos)
-    return F.pmod(i * F.lit(a) + F.lit(b), F.lit(n)).cast("long")
+BLOCK = 64  # rows that exchange values with each other after a shuffle
 
 
 def _own_rows(df: DataFrame, features: Sequence[str], y: str, key: str) -> DataFrame:
@@ -45,46 +27,43 @@ def _own_rows(df: DataFrame, features: Sequence[str], y: str, key: str) -> DataF
     return df.select(key, F.col(y).alias("y"), "_base", own.alias("own"))
 
 
+def _repeated(df: DataFrame, repeats: int) -> DataFrame:
+    """Each row once per repeat."""
+    return df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+
+
 def paired_rows(df: DataFrame, features: Sequence[str], y: str, n: int, repeats: int,
                 seed: int = SEED, key: str = "row_id") -> DataFrame:
     """(key, y, _base, own, repeat, other): each row beside its partner of each repeat.
 
-    The row itself travels to its partner, so one join does; keys are unique.
+    A whole row is moved once per repeat, by one join on unique keys.
     """
-    targets = F.explode(F.array(*[
-        F.struct(F.lit(r).alias("repeat"), permuted(F.col(key), n, seed, r).alias("target"))
-        for r in range(repeats)]))
     rows = _own_rows(df, features, y, key)
-    asked = rows.select("*", targets.alias("t")).select(*rows.columns, "t.*")
-    given = rows.select(F.col(key).alias("target"), F.col("own").alias("other"))
-    return asked.join(given, "target").drop("target")
+    asked = permute(_repeated(rows, repeats), key, "_target", n, seed, repeats)
+    given = rows.select(F.col(key).alias("_target"), F.col("own").alias("other"))
+    return asked.join(given, "_target").drop("_target")
 
 
 def independent_partners(df: DataFrame, features: Sequence[str], n: int, repeats: int,
                          seed: int = SEED, key: str = "row_id") -> DataFrame:
-    """(key, repeat, other): an array of features, each shuffled on its own."""
-    # Rows send their values instead: the inverse bijection is affine as well, so
-    # no join is needed, only one grouping by receiver.
-    sends = []
-    for r in range(repeats):
-        for j, c in enumerate(features):
-            a, b = affine(n, seed, r, j)
-            back = pow(a, -1, n) if n > 1 else 0
-            sends.append(F.struct(
-                _times_mod(F.pmod(F.col(key) - F.lit(b), F.lit(n)), back, n).alias(key),
-                F.lit(r).alias("repeat"), F.lit(j).alias("j"),
-                F.col(c).cast("double").alias("v")))
-    sent = df.select(F.explode(F.array(*sends)).alias("s")).select("s.*")
-    picked = [F.max(F.when(F.col("j") == j, F.col("v"))) for j in range(len(features))]
-    return sent.groupBy(key, "repeat").agg(F.array(*picked).alias("other"))
-
-
-def _times_mod(x: Column, a: int, n: int) -> Column:
-    """x * a mod n without overflow: plain for small n, in decimal beyond."""
-    if n <= 3_000_000_000:
-        return F.pmod(x * F.lit(a), F.lit(n)).cast("long")
-    wide = x.cast("decimal(19,0)") * F.lit(a).cast("decimal(19,0)")
-    return F.pmod(wide, F.lit(n).cast("decimal(19,0)")).cast("long")
+    """(key, repeat, other): an array of features, each from another row.
+
+    Whole rows are moved once per repeat: the rows that are shuffled to the positions of a
+    block of row numbers meet there, and feature j of a row comes from j places further on
+    in the block. So each feature is a permutation of its own, and the values of a row come
+    from as many random rows as there are features (in the last block: as it has rows).
+    """
+    values = F.array(*[F.col(c).cast("double") for c in features])
+    sent = permute(_repeated(df.select(F.col(key).alias("_id"), values.alias("v")), repeats),
+                   "_id", "_at", n, seed, repeats, inverse=True)
+    blocks = sent.groupBy(F.expr(f"_at div {BLOCK}").alias("_block"), "repeat").agg(
+        F.array_sort(F.collect_list(F.struct((F.col("_at") % BLOCK).alias("place"), "v")))
+        .alias("rows"))  # at most BLOCK rows
+    placed = blocks.select("repeat", "_block", "rows", F.posexplode("rows").alias("_p", "_row"))
+    picked = [F.col("rows")[(F.col("_p") + j) % F.size("rows")]["v"][j]
+              for j in range(len(features))]
+    return placed.select((F.col("_block") * BLOCK + F.col("_p")).alias(key), "repeat",
+                         F.array(*picked).alias("other"))
 
 
 def hashed_partners(df: DataFrame, features: Sequence[str], repeats: int, seed: int = SEED,
@@ -126,11 +105,12 @@ def _feature_name(pos: str, features: Sequence[str]) -> Column:
 def permutation_importance(df: DataFrame, features: Sequence[str], y: str, predict: Predictor,
                            model: str, n: int | None = None,
                            repeats: int = PERMUTATION_REPEATS, seed: int = SEED,
-                           key: str = "row_id", mode: str = "affine") -> DataFrame:
-    """Drop in R2 per (feature, repeat). `df` holds dense row numbers 0..n-1."""
+                           key: str = "row_id", mode: str = "keyed") -> DataFrame:
+    """Drop in R2 per (feature, repeat). `df` holds dense row numbers 0..n-1. In mode `keyed`
+    partners come from keyed permutations, in mode `hash` from the order of hashes."""
     n = df.count() if n is None else n
     scored = predict(df, "_base")
-    if mode == "affine":
+    if mode == "keyed":
         paired = paired_rows(scored, features, y, n, repeats, seed, key)
     else:
         paired = _own_rows(scored, features, y, key).join(
