@@ -9,7 +9,7 @@ are the rows of one array, and each step does one merge in every row.
 
 Ranks come from a rank file that every task reads from the installed tokenizers package, or
 from the path given. Tasks remember the ids of short matches, and of runs between white
-space, in tables of bounded size.
+space, in tables of bounded size, which end with the task.
 
 Defined results: null and empty text has no ids; broken UTF-8 is read with replacement
 characters; rows that repeat and null ids are encoded like any other row.
@@ -51,7 +51,7 @@ class ByteBpe:
     of `pattern` crosses; ids of a part are then found in one step."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, runs: str | None = None,
-                 remembered: int = 500_000):
+                 remembered: int = 150_000):
         self.split = regex.compile(pattern)
         self.runs = re.compile(runs) if runs else self.split
         self.pieces = {rank: piece for piece, rank in ranks.items()}
@@ -144,6 +144,11 @@ class ByteBpe:
         if len(memory) >= self.remembered:
             memory.clear()
 
+    def end_task(self) -> None:
+        """Drop what was remembered: Python workers go on to tasks of other stages."""
+        self.memory.clear()
+        self.run_memory.clear()
+
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
         """The ids of each text."""
         self._forget(self.memory)
@@ -194,6 +199,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str,
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, ids], names=[*part.schema.names, "token_ids"])
+        bpe.end_task()
     return docs.mapInArrow(run, schema)
 
 
@@ -220,5 +226,6 @@ def digests(docs: DataFrame, path: str, pattern: str, runs: str | None = None) -
                         sha256(" ".join(map(bpe.names.__getitem__, ids)).encode()).hexdigest(),
                         sha256(bpe.decode(ids)).hexdigest())
                        for key, ids in zip(keys[a:b], bpe.encode_all(texts[a:b]), strict=True)]
+        bpe.end_task()
     return map_rows(docs.select("doc_id", "text"), "doc_id long, n_tokens long, "
                     "ids_sha256 string, decoded_sha256 string", run)

@@ -50,14 +50,17 @@ def _kept(split: DataFrame, min_df: int) -> DataFrame:
 
 def vector_counts(split: DataFrame, min_df: int) -> DataFrame:
     """lang, source, term, n from the sparse vectors of a CountVectorizer."""
-    named = split.select("lang", "source", F.transform(
-        "terms", lambda t: F.concat("lang", F.lit(_END), t)).alias("terms"))
+    def named(which: Column) -> Column:
+        return F.transform(which, lambda t: F.concat("lang", F.lit(_END), t)).alias("terms")
+    # One entry per document and term gives the same document frequencies.
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df),
-                            vocabSize=(1 << 31) - 1).fit(named)
+                            vocabSize=(1 << 31) - 1).fit(
+        split.select(named(F.array_distinct("terms"))))
     words = split.sparkSession.createDataFrame(list(enumerate(model.vocabulary)),
                                                "at int, name string")
     vector = F.unwrap_udt("vector")
-    sums = (model.transform(named).select("lang", "source", F.explode(F.arrays_zip(
+    sums = (model.transform(split.select("lang", "source", named(F.col("terms")))).select(
+        "lang", "source", F.explode(F.arrays_zip(
         vector["indices"].alias("at"), vector["values"].alias("n"))).alias("entry"))
         .groupBy("lang", "source", F.col("entry.at").alias("at"))
         .agg(F.sum("entry.n").cast("long").alias("n")))
