@@ -224,3 +224,11 @@ def test_validation_edges(spark):
     zero = side([(0.0, 0.0)])
     assert compare.validate_against(zero, zero, {"x": "x"}, "d").first()["pct_difference"] == 0.0
     assert compare.validate_against(zero, zero, {"nope": "x"}, "d") is None
+
+
+def test_scores_use_complete_pairs(spark):
+    df = spark.createDataFrame([(1.0, 1.5), (2.0, 2.0), (4.0, None), (None, 3.0), (5.0, 4.0)],
+                               "y double, pred_m double")
+    row = evaluate.scores(df).first()
+    assert row["n"] == 3 and row["mae"] == pytest.approx(0.5)
+    assert row["r2"] == pytest.approx(1 - 1.25 / (np.var([1.0, 2.0, 5.0]) * 3))

@@ -42,8 +42,8 @@ def test_prefixes(spark):
         assert ordered.prefix_rows(df, ["t", "id"], f).count() == int(101 * f)
 
 
-@pytest.mark.parametrize("chunks", [2, 8, 50])
-def test_exact_quantiles(spark, chunks):
+@pytest.mark.parametrize("most", [500, 60, 2])
+def test_exact_quantiles(spark, most):
     rng = np.random.default_rng(1)
     data = {"a": rng.exponential(3, 400), "b": np.repeat([1.0, 2.0], [300, 1]),
             "c": np.array([4.0])}
@@ -51,7 +51,7 @@ def test_exact_quantiles(spark, chunks):
                                "g string, v double")
     shares = {"q1": 0.25, "q2": 0.5, "q9": 0.99}
     table = distribution.cumulative_counts(
-        distribution.value_counts(df, ["g"], "v"), ["g"], ["n"], chunks)
+        distribution.value_counts(df, ["g"], "v"), ["g"], ["n"], most)
     got = table.groupBy("g").agg(*[distribution.quantile_at(s).alias(k)
                                    for k, s in shares.items()]).collect()
     for r in got:
@@ -133,3 +133,36 @@ def test_sizes_by_date_alone_without_a_shuffle_of_the_rows(spark):
     assert all(x["b"] <= y["a"] for x, y in zip(bounds, bounds[1:]))
     plan = tagged._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" not in plan and "Sort" not in plan
+
+
+def test_many_groups_and_chunks(spark):
+    """100,000 groups beside one group of 10,000 chunks and more."""
+    small = spark.range(300_000).select((F.col("id") % 100_000).alias("g"),
+                                        (F.col("id") / 7).alias("v"))
+    large = spark.range(60_000).select(F.lit(-1).cast("long").alias("g"),
+                                       F.exp(F.col("id") / 10_000).alias("v"))
+    counted = distribution.value_counts(small.unionAll(large), ["g"], "v")
+    rows = distribution.chunked(counted, ["g"], 6)
+    sizes = rows.groupBy("g", "_chunk").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("a"),
+                                            F.max("value").alias("b"))
+    assert sizes.where("n > 6").isEmpty()
+    listed = sizes.where("g = -1").orderBy("_chunk").collect()
+    assert len(listed) >= 10_000 and all(x["b"] < y["a"] for x, y in zip(listed, listed[1:]))
+    table = distribution.cumulative_counts(counted, ["g"], ["n"], 6)
+    got = table.where("g IN (-1, 5)").groupBy("g").agg(
+        distribution.quantile_at(0.5).alias("m"), F.max("cum_n").alias("n")).collect()
+    want = {-1: (np.median(np.exp(np.arange(60_000) / 10_000)), 60_000), 5: (100_005 / 7, 3)}
+    assert {r["g"]: (pytest.approx(r["m"]), r["n"]) for r in got} == want
+
+
+def test_density_of_constant_features_and_empty_bins(spark):
+    rows = [("c", s, 3.0) for s in ("emulated", "real")] * 4
+    rows += [("x", "emulated", float(v)) for v in (0, 1, 10)] + [("x", "real", 5.0)]
+    got = distribution.shared_density(
+        spark.createDataFrame(rows, "feature string, side string, value double"), edges=6)
+    by = {}
+    for r in got.collect():
+        by.setdefault((r["feature"], r["side"]), {})[r["bin"]] = (r["n"], r["density"])
+    assert all(len(bins) == 5 for bins in by.values()) and len(by) == 4
+    assert by["c", "real"][0] == (4, None) and by["c", "real"][4] == (0, None)
+    assert sum(n for n, _ in by["x", "real"].values()) == 1 and by["x", "real"][0] == (0, 0.0)

@@ -3,9 +3,8 @@
 Everything starts from a value-count table, (group, value) -> count, which
 partial aggregation builds without moving raw rows of a hot group to one task.
 Cumulative counts then run in two levels: inside value chunks, and over one
-summary row per chunk. Chunk bounds are approximate quantiles read once to the
-driver (a fixed number per group), so placement is the same on every recomputation;
-results do not depend on the bounds and stay exact.
+summary row per chunk. Chunks come from quantile sketches that stay in tables; what
+they hold is checkpointed, and results do not depend on it and stay exact.
 """
 
 from __future__ import annotations
@@ -13,15 +12,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.columns import half_even
 from wattloom.session import durable
 
-CHUNK_ROWS = 500_000   # aimed-at distinct values per chunk, one sorted run of a task
-CHUNK_RANGE = (8, 2048)
+CHUNK_ROWS = 500_000   # distinct values per chunk at most, one sorted run of a task
+FAN = 32               # parts of a chunk that is too large
+ACCURACY = 20 * FAN    # of its sketch
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str,
@@ -33,34 +32,52 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str,
             .agg(*[F.sum(c).alias(name) for name, c in counts.items()]))
 
 
-def _chunk_bounds(counted: DataFrame, by: Sequence[str], chunks: int) -> list[float]:
-    """Sorted chunk bounds pooled over the groups (at most chunks * groups numbers)."""
-    shares = [i / chunks for i in range(1, chunks)]
-    per_group = counted.groupBy(*by).agg(
-        F.percentile_approx("value", shares, 20 * chunks).alias("cuts"))
-    rows = per_group.select(F.explode("cuts").alias("cut")).distinct().collect()
-    return sorted(r["cut"] for r in rows)
+def _beside(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A join on keys that may be null; the keys of `table` stay apart as `_<key>`."""
+    renamed = table.withColumnsRenamed({k: f"_{k}" for k in keys})
+    return rows.join(renamed, reduce(lambda x, y: x & y, [
+        F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), how)
+
+
+def chunked(counted: DataFrame, by: Sequence[str], most: int | None = None) -> DataFrame:
+    """`counted` with `_chunk`: numbers that follow the values of a group, with at most `most`
+    rows each.
+
+    A chunk that is too large is divided at the quantiles of its sketch.
+    Sketches are merged by partial aggregation and stay in a table beside the values, so
+    neither the number of groups nor that of chunks is bounded, and nothing comes to the
+    driver. A sketch only places values; what is computed from the chunks is exact.
+    """
+    most = CHUNK_ROWS if most is None else most
+    keys = [*by, "_chunk"]
+    rows = counted.withColumn("_chunk", F.lit(0).cast("long"))
+    while True:
+        large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(
+            F.col("_rows") > most)
+        if large.isEmpty():
+            return rows
+        cuts = F.percentile_approx("value", [i / FAN for i in range(1, FAN)], ACCURACY)
+        sketches = (_beside(rows.where(~F.isnan("value")), large, keys, "left_semi")
+                    .groupBy(*keys).agg(cuts.alias("_cuts")))
+        placed = _beside(rows, sketches, keys, "left")
+        below = F.size(F.filter("_cuts", lambda c: c < F.col("value")))
+        part = F.when(F.col("_cuts").isNull(), 0).otherwise(below)
+        rows = durable(placed.withColumn("_chunk", F.col("_chunk") * FAN + part)
+                       .select(*rows.columns))
 
 
 def cumulative_counts(counted: DataFrame, by: Sequence[str], counts: Sequence[str],
-                      chunks: int | None = None) -> DataFrame:
+                      most: int | None = None) -> DataFrame:
     """Add `cum_<name>` (rows with a value <= this one) and `all_<name>` per group.
 
-    The counts are read three times (bounds, running sums, chunk sums), so they are
+    The counts are read several times (chunks, running sums, chunk sums), so they are
     checkpointed first: the aggregation below them runs once.
     """
-    counted = durable(counted)
-    if chunks is None:
-        low, high = CHUNK_RANGE
-        chunks = min(high, max(low, counted.count() // CHUNK_ROWS))
-    bounds = _chunk_bounds(counted, by, chunks)
-    splits = [float("-inf"), *[b for b in bounds if abs(b) != float("inf")], float("inf")]
-    chunked = Bucketizer(splits=splits, inputCol="value", outputCol="_chunk",
-                         handleInvalid="keep").transform(counted)
+    rows = chunked(durable(counted), by, most)
     inside = (Window.partitionBy(*by, "_chunk").orderBy("value")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = chunked.select("*", *[F.sum(c).over(inside).alias(f"cum_{c}") for c in counts])
-    totals = chunked.groupBy(*by, "_chunk").agg(*[F.sum(c).alias(c) for c in counts])
+    running = rows.select("*", *[F.sum(c).over(inside).alias(f"cum_{c}") for c in counts])
+    totals = rows.groupBy(*by, "_chunk").agg(*[F.sum(c).alias(c) for c in counts])
     earlier = (Window.partitionBy(*by).orderBy("_chunk")
                .rowsBetween(Window.unboundedPreceding, -1))
     whole = Window.partitionBy(*by)
@@ -133,7 +150,7 @@ def shared_density(samples: DataFrame, feature: str = "feature", side: str = "si
     """Density of each side over bins shared by both sides of a feature.
 
     The bin range runs between two quantiles of the pooled values; densities are
-    normalised over the rows inside that range.
+    normalised over the rows inside that range. Empty bins are listed too.
     """
     bins = edges - 1
     sides = value_counts(samples, [feature, side], "value")
@@ -142,14 +159,19 @@ def shared_density(samples: DataFrame, feature: str = "feature", side: str = "si
         quantile_at(low).alias("lo"), quantile_at(high).alias("hi"))
     placed = (sides.join(ranges, feature)
               .where(F.col("value").between(F.col("lo"), F.col("hi")))
-              .groupBy(feature, side, "lo", "hi",
+              .groupBy(feature, side,
                        _bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
               .agg(F.sum("n").alias("n")))
-    inside = F.sum("n").over(Window.partitionBy(feature, side))  # at most `bins` rows each
+    frame = sides.select(feature, side).distinct().join(ranges, feature).select(
+        feature, side, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    listed = frame.join(placed, [feature, side, "bin"], "left").withColumn(
+        "n", F.coalesce("n", F.lit(0)))
+    inside = F.sum("n").over(Window.partitionBy(feature, side))  # `bins` rows each
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return placed.select(
+    # A constant feature has bins of no width and no density.
+    return listed.select(
         feature, side, "bin", (F.col("lo") + width * F.col("bin")).alias("bin_low"), "n",
-        (F.col("n") / (inside * width)).alias("density"))
+        (F.col("n") / F.nullif(inside * width, F.lit(0.0))).alias("density"))
 
 
 def ks_table(samples: DataFrame, feature: str = "feature", side: str = "side",

@@ -56,8 +56,11 @@ def _score_columns(y: str) -> list[Column]:
 
 
 def scores(df: DataFrame, y: str = "y", by: Sequence[str] = ()) -> DataFrame:
-    """R2, RMSE and MAE per model (and per group)."""
-    return long_predictions(df, [*by, y]).groupBy("model", *by).agg(*_score_columns(y))
+    """R2, RMSE and MAE per model (and per group), over the rows that have both the target
+    and the prediction."""
+    pairs = long_predictions(df, [*by, y]).where(
+        F.col(y).isNotNull() & F.col("y_pred").isNotNull())
+    return pairs.groupBy("model", *by).agg(*_score_columns(y))
 
 
 def evaluate(df: DataFrame, y: str = "y") -> DataFrame:
