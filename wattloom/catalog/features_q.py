@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wattloom.catalog.base import (
@@ -14,7 +15,7 @@ from wattloom.fixed_values import (
 from wattloom.functions import columns as fx
 from wattloom.operators import clean, features, ordered, profiles, quality, reshape
 from wattloom.operators.distribution import equal_width_histogram
-from wattloom.session import durable
+from wattloom.session import durable, work_path
 
 _r = lambda cols, digits=6: ", ".join(sql_r6(c, None, digits) for c in cols)
 # Averages of one-decimal values can end in a 5 at the seventh digit, a rounding tie
@@ -76,14 +77,14 @@ def p05(spark, sf):
         "timestamp", "mean_humidity", "power_kettle", "total_power", "active_appliances")
 
 
-@query("p06_drop_null_rows", with_(TICKS_CTE, f"""
-SELECT (SELECT count(*) FROM ticks WHERE {" AND ".join(
-    f"{k} IS NOT NULL" for k in KEYS[:1])}) AS any_kept,
-  (SELECT count(*) FROM ticks WHERE coalesce({", ".join(KEYS[:5])}) IS NOT NULL) AS all_kept"""))
+@query("p06_drop_null_rows", with_(WIDE_CTE, f"""
+SELECT (SELECT count(*) FROM wide WHERE {" AND ".join(
+    f"{k} IS NOT NULL" for k in KEYS)}) AS any_kept,
+  (SELECT count(*) FROM ticks WHERE coalesce({", ".join(KEYS)}) IS NOT NULL) AS all_kept"""))
 def p06(spark, sf):
     ticks = reshape.pivot_mean(readings(spark, sf), KEYS)
-    first = clean.drop_incomplete(ticks, "any", KEYS[:1]).select(F.lit(1).alias("k"))
-    second = clean.drop_incomplete(ticks, "all", KEYS[:5]).select(F.lit(2).alias("k"))
+    first = clean.drop_incomplete(wide_grid(spark, sf), "any", KEYS).select(F.lit(1).alias("k"))
+    second = clean.drop_incomplete(ticks, "all", KEYS).select(F.lit(2).alias("k"))
     return first.unionAll(second).agg(F.count_if(F.col("k") == 1).alias("any_kept"),
                                       F.count_if(F.col("k") == 2).alias("all_kept"))
 
@@ -171,12 +172,12 @@ def j06(spark, sf):
 
 
 @query("j07_calendar_spine", with_(GRID_CTE, f"""
-SELECT timestamp, {_r(KEYS[:5])} FROM grid"""))
+SELECT timestamp, {_r(KEYS)} FROM grid"""))
 def j07(spark, sf):
     rows = readings(spark, sf)
-    binned = reshape.pivot_mean(rows, KEYS[:5]).groupBy(
+    binned = reshape.pivot_mean(rows, KEYS).groupBy(
         reshape.bin_start("timestamp", "5 minutes").alias("timestamp")).agg(
-        *[F.avg(k).alias(k) for k in KEYS[:5]])
+        *[F.avg(k).alias(k) for k in KEYS])
     return show(reshape.join_spine(binned, reshape.spine(rows.select("timestamp"), "5 minutes")))
 
 
@@ -483,14 +484,19 @@ def w05(spark, sf):
 
 
 @query("o01_sort_by_time", with_(LONG_CTE, """
-SELECT date_trunc('day', timestamp)::TIMESTAMP AS day, min(timestamp) AS first_ts,
-       max(timestamp) AS last_ts, count(*) AS n FROM long GROUP BY 1"""))
+SELECT row_number() OVER (ORDER BY timestamp) - 1 AS place, timestamp, sensor_type FROM long"""))
 def o01(spark, sf):
-    # First and last of each day, read from the time-sorted table.
-    rows = ordered.sorted_rows(readings(spark, sf), "timestamp")
-    return rows.groupBy(F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("day")).agg(
-        F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
-        F.count(F.lit(1)).alias("n"))
+    # The place of each row in the sorted files as they were written.
+    path = work_path(spark, "sorted")
+    ordered.sorted_rows(readings(spark, sf).select("timestamp", "sensor_type"),
+                        "timestamp").write.parquet(path)
+    files = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("f"),
+                                            F.col("_metadata.row_index").alias("i"))
+    sizes = files.groupBy("f").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("f", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return files.join(starts, "f").select((F.col("start") + F.col("i")).alias("place"),
+                                          "timestamp", "sensor_type")
 
 
 @query("o06_head", with_(FEATURES_CTE, f"""
@@ -703,6 +709,11 @@ def r03(spark, sf):
     return show(quality.activation_gap(feature_table(spark, sf)))
 
 
+#: An own table: everyone asleep or at home in the evening, out on workdays, no data at 3 h.
+_EXPECTED_OCCUPANCY = [
+    (room, weekend, hour, round((0.9 if hour >= 18 or hour < 7 else 0.6 if weekend else 0.1)
+                                - 0.05 * k, 2))
+    for k, room in enumerate(ROOMS) for weekend in (0, 1) for hour in range(24) if hour != 3]
 _OCC_ROOMS = ", ".join(f"avg(occupancy_{r}) AS {r}" for r in ROOMS)
 
 
@@ -710,18 +721,17 @@ _OCC_ROOMS = ", ".join(f"avg(occupancy_{r}) AS {r}" for r in ROOMS)
 SELECT room, is_weekend, hour, observed FROM (
   SELECT (isodow(timestamp) >= 6)::INT AS is_weekend, hour(timestamp)::INT AS hour, {_OCC_ROOMS}
   FROM wide GROUP BY 1, 2) UNPIVOT (observed FOR room IN ({", ".join(ROOMS)}))),
-overall AS (SELECT room, avg(observed) AS probability FROM hourly GROUP BY room)
+expected AS (SELECT * FROM (VALUES {", ".join(
+    f"('{r}', {w}, {h}, {p}::DOUBLE)" for r, w, h, p in _EXPECTED_OCCUPANCY)})
+  e(room, is_weekend, hour, probability))
 SELECT room, is_weekend, hour, round(observed, 6) + 0 AS observed,
-  round(probability, 6) + 0 AS probability, round(observed - probability, 6) + 0 AS difference
-FROM hourly JOIN overall USING (room)"""))
+  round(probability, 6) + 0 AS probability,
+  round(observed - coalesce(probability, 0), 6) + 0 AS difference
+FROM hourly LEFT JOIN expected USING (room, is_weekend, hour)"""))
 def r03_occupancy(spark, sf):
-    wide = wide_grid(spark, sf)
-    # The expected table is a parameter; here each room's mean hourly rate.
-    blank = spark.createDataFrame([], "room string, is_weekend int, hour int, probability double")
-    observed = quality.occupancy_gap(wide, blank).select("room", "is_weekend", "hour", "observed")
-    overall = observed.groupBy("room").agg(F.avg("observed").alias("probability"))
-    expected = observed.join(overall, "room").select("room", "is_weekend", "hour", "probability")
-    return show(quality.occupancy_gap(wide, expected))
+    expected = spark.createDataFrame(
+        _EXPECTED_OCCUPANCY, "room string, is_weekend int, hour int, probability double")
+    return show(quality.occupancy_gap(wide_grid(spark, sf), expected))
 
 
 @query("a18_value_histogram", """

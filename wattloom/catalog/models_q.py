@@ -73,10 +73,11 @@ SELECT model, {_r(["mae"])}, row_number() OVER (ORDER BY mae DESC, model)::INT A
 FROM scored"""))
 def o02(spark, sf):
     scored = evaluate.scores(predictions(spark, sf)).select("model", "mae")
-    listed = ordered.sorted_rows(scored, F.desc("mae"), "model").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("mae")).alias("m"), "model"))).alias("l"))
-    return listed.select(F.posexplode("l").alias("pos", "v")).select(
-        "v.model", r6(-F.col("v.m"), "mae"), (F.col("pos") + 1).alias("pos"))
+    # One file of three rows in the order in which they were sorted.
+    path = work_path(spark, "sorted")
+    ordered.sorted_rows(scored, F.desc("mae"), "model").coalesce(1).write.parquet(path)
+    return spark.read.parquet(path).select(
+        "model", r6("mae"), (F.col("_metadata.row_index") + 1).cast("int").alias("pos"))
 
 
 @query("o03_best_model", with_(PRED_CTE, f"""
@@ -229,11 +230,12 @@ def m01_refit(spark, sf):
     return show(params, 9)
 
 
-_SCALED = ["mean_temperature", "occupancy_count", "power_kettle"]
+_SCALED = MODEL_INPUTS
 
 
 @query("m01_scaled_rows", with_(_SPLIT_CTE + f""",
-p AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALED)}
+p AS (SELECT {", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE "
+                        f"stddev_pop({c}) END AS s_{c}" for c in _SCALED)}
   FROM sided WHERE split = 'train')""", f"""
 SELECT timestamp, split, total_power, {", ".join(
     f"round(({c} - m_{c}) / s_{c}, 6) + 0 AS {c}" for c in _SCALED)} FROM sided, p"""))

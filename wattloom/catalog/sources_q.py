@@ -166,19 +166,26 @@ def s08(spark, sf):
         ("total_power_real", "mean_temperature_real", "mean_humidity_real")])
 
 
-@query("j04_feature_map", with_(FEATURES_CTE, f"""
-SELECT 'total_power vs total_power' AS feature,
-  {sql_half_even("(SELECT avg(total_power) FROM features)", 2)} AS emulated_mean,
-  {sql_half_even("(SELECT avg(l_quantity + l_linenumber * 10) FROM lineitem)", 2)} AS real_mean
-UNION ALL SELECT 'mean_humidity vs mean_humidity',
-  {sql_half_even("(SELECT avg(mean_humidity) FROM features)", 2)},
-  {sql_half_even("(SELECT avg(l_tax * 500) FROM lineitem)", 2)}"""))
+_REAL = {
+    "total_power": "l_quantity + l_linenumber * 10",
+    "mean_temperature": "(l_discount * 100 + CASE WHEN l_linenumber > 2 THEN l_tax * 100 ELSE 0 END)"
+                        " / CASE WHEN l_linenumber > 2 THEN 2.0 ELSE 1.0 END",
+    "mean_humidity": "l_tax * 500", "hour": "hour(l_shipdate)"}
+
+
+@query("j04_feature_map", with_(FEATURES_CTE, " UNION ALL ".join(
+    f"""SELECT '{c} vs {c}' AS feature,
+  {sql_half_even(f"(SELECT avg({c}) FROM features)", 2)} AS emulated_mean,
+  {sql_half_even(f"(SELECT avg({x}) FROM lineitem)", 2)} AS real_mean,
+  (SELECT count({c}) FROM features) AS emulated_n, (SELECT count(*) FROM lineitem) AS real_n,
+  {sql_half_even(f"(SELECT min({x}) FROM lineitem)", 2)} AS real_min,
+  {sql_half_even(f"(SELECT max({x}) FROM lineitem)", 2)} AS real_max""" for c, x in _REAL.items())))
 def j04(spark, sf):
     real, mapping = external.load_appliances(spark, _appliances_csv(spark, sf))
-    pairs = {c: mapping[c] for c in ("total_power", "mean_humidity")}
-    pairs["no_such_column"] = "total_power"  # skipped with a warning
+    pairs = {**mapping, "no_such_column": "total_power"}  # skipped with a warning
     result = compare.validate_against(durable(feature_table(spark, sf)), real, pairs, "Appliances")
-    return show(result.select("feature", "emulated_mean", "real_mean"))
+    return show(result.select("feature", "emulated_mean", "real_mean", "emulated_n", "real_n",
+                              "real_min", "real_max"))
 
 
 @query("s09_sink_by_date", with_(FEATURES_CTE, """
@@ -191,6 +198,16 @@ def s09(spark, sf):
         F.count(F.lit(1)).alias("n"), r6(F.sum("total_power"), "total", 3))
 
 
+@query("s09_sink_all_days", with_(FEATURES_CTE, """
+SELECT timestamp::DATE AS date, count(*) AS n, round(sum(total_power), 3) + 0 AS total
+FROM features GROUP BY 1"""))
+def s09_all(spark, sf):
+    path = work_path(spark, "features")
+    store.write_by_date(feature_table(spark, sf), path)
+    return store.read_days(spark, path).groupBy("date").agg(
+        F.count(F.lit(1)).alias("n"), r6(F.sum("total_power"), "total", 3))
+
+
 @query("s12_result_sink", f"""
 SELECT event_type, {sql_half_even("avg(value)", 2)} AS mean_value,
   {sql_half_even("max(value)", 1)} AS max_value FROM events GROUP BY event_type""")

@@ -110,10 +110,10 @@ def s14(spark, sf):
 
 @query("s15_daily_sink", with_(LONG_CTE, f"""
 SELECT strftime(timestamp, '%Y-%m-%d') AS date, sensor_type, count(*) AS n FROM long
-WHERE NOT ({_BROKEN}) AND timestamp >= TIMESTAMP '2024-01-10' GROUP BY 1, 2"""))
+WHERE NOT ({_BROKEN}) GROUP BY 1, 2"""))
 def s15(spark, sf):
     rows = ingest.stored_readings(spark, _ingested(spark, sf))
-    return rows.where("date >= '2024-01-10'").groupBy("date", "sensor_type").agg(
+    return rows.groupBy("date", "sensor_type").agg(
         F.count(F.lit(1)).alias("n"))
 
 
