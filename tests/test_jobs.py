@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattloom.catalog.base import readings
-from wattloom.operators import profiles, quality
+from wattloom.operators import evaluate, profiles, quality
 from wattloom.plans import cli, phases
 from wattloom.sources import csv_files, external
 from wattloom.streaming import ingest
@@ -122,11 +122,15 @@ def test_all_phases(spark, tmp_path):
     for name, rows_expected in (("evaluation", 2), ("comparisons", 1), ("gaps", 2),
                                 ("stability", 2), ("normality", 2), ("learning_curves", 12),
                                 ("coefficients", 16), ("importance", 30), ("decomposition", 30),
-                                ("daily", 7), ("validation", 4)):
+                                ("daily", 7), ("validation", 4), ("hourly_by_day", 108),
+                                ("contrast", 1), ("totals", 2), ("day_distribution", 7)):
         assert spark.read.parquet(f"{out}/results/{name}").count() == rows_expected, name
     assert spark.read.parquet(f"{out}/results/summary").where("section = 6").count() == 1
     # 1 completeness, 3 power, 12 and 24 hourly, 8 realism and 7 correlation rows
     assert spark.read.parquet(f"{out}/results/quality").count() == 55
+    trials = spark.read.parquet(f"{out}/models/grid_results").collect()
+    assert sorted((t["model"], t["combo"], t["fold"]) for t in trials) == [
+        ("RandomForest", 0, 0), ("RandomForest", 0, 1)]
     assert phases.INPUTS == [c for c in phases.FEATURES if c != "total_power"]
 
 
@@ -164,3 +168,13 @@ def test_mixed_folder_wide_rows_in_a_gap_of_the_long_files(spark, tmp_path):
     assert len(rows) == len(got) and rows == {
         0: (30.0, 1000.0), 5: (30.0, 1000.0), 10: (2.0, 8.0), 12: (3.0, 9.0),
         15: (30.0, 1000.0), 20: (30.0, 1000.0), 25: (55.0, 1000.0)}
+
+
+def test_a_model_whose_folds_fail_gets_a_row(spark):
+    scores = spark.createDataFrame([("a", 0, 0.9), ("a", 1, 0.8)], "model string, fold int, r2 double")
+    got = {r["model"]: r for r in evaluate.with_failures(
+        evaluate.cv_stability(scores), [("b", "FAILED: singular")]).collect()}
+    assert got["b"]["verdict"] == "FAILED: singular" and got["b"]["cv_mean_r2"] is None
+    assert got["a"]["cv_mean_r2"] == 0.85
+    none = evaluate.with_failures(evaluate.cv_stability(scores), [])
+    assert none.count() == 1

@@ -141,6 +141,12 @@ def cv_stability(fold_scores: DataFrame) -> DataFrame:
         F.when(coefficient < CV_STABLE_PCT, "STABLE").otherwise("UNSTABLE").alias("verdict"))
 
 
+def with_failures(stability: DataFrame, failed: Sequence[tuple[str, str]]) -> DataFrame:
+    """`cv_stability` with a row for each model whose folds failed: no numbers, and why."""
+    rows = stability.sparkSession.createDataFrame(list(failed), "model string, verdict string")
+    return stability.unionByName(rows, allowMissingColumns=True)
+
+
 def residual_moments(df: DataFrame, y: str = "y") -> DataFrame:
     """Mean, population deviation, biased skewness, excess kurtosis of the residuals."""
     e = F.col(y) - F.col("y_pred")

@@ -42,6 +42,7 @@ class Fitted:
     params: dict = field(default_factory=dict)
     cv_rmse: float | None = None
     seconds: float = 0.0
+    trials: list[dict] = field(default_factory=list)  # every setting and fold of its grid
 
     def predict(self, df: DataFrame, column: str | None = None) -> DataFrame:
         column = column or PREFIX + self.name
@@ -136,14 +137,15 @@ def train_model(name: str, df: DataFrame, features: Sequence[str], y: str,
                 grid: dict[str, list] | None = None, **search) -> Fitted:
     """Tune over the grid if there is one, then fit on all rows."""
     start = time.time()
-    learner, params, cv = LEARNERS[name], {}, None
+    learner, params, cv, trials = LEARNERS[name], {}, None, []
     grid = GRIDS[name] if grid is None else grid
     if grid:
         folds = search.get("folds", FOLDS)
         log.info("%s: %d fits", name, planned_fits(grid, folds))
-        params, cv = best_setting(grid_search(learner, df, features, y, grid, **search))
+        trials = grid_search(learner, df, features, y, grid, **search)
+        params, cv = best_setting(trials)
     model = learner(df, features, y, **params)
-    return Fitted(name, list(features), model, params, cv, time.time() - start)
+    return Fitted(name, list(features), model, params, cv, time.time() - start, trials)
 
 
 def train_all(df: DataFrame, features: Sequence[str], y: str,
@@ -167,7 +169,7 @@ def predict_all(models: dict[str, Fitted], df: DataFrame) -> DataFrame:
 # --- saving --------------------------------------------------------------------
 
 def save_models(spark: SparkSession, models: dict[str, Fitted], folder: str) -> None:
-    """One model folder each, and a table of the runs."""
+    """One model folder each, a table of the runs and one of their grid results."""
     rows = []
     for name, f in models.items():
         path = f"{folder}/{name}"
@@ -180,15 +182,29 @@ def save_models(spark: SparkSession, models: dict[str, Fitted], folder: str) ->
     spark.createDataFrame(
         rows, "model string, kind string, features array<string>, params string, "
         "cv_rmse double, seconds double").write.mode("overwrite").parquet(f"{folder}/model_runs")
+    spark.createDataFrame(
+        [(name, t["combo"], t["params"], t["fold"], t["train_rmse"], t["val_rmse"])
+         for name, f in models.items() for t in f.trials], _TRIALS).write.mode(
+        "overwrite").parquet(f"{folder}/grid_results")
+
+
+_TRIALS = ("model string, combo int, params string, fold int, train_rmse double, "
+           "val_rmse double")
 
 
 def load_models(spark: SparkSession, folder: str) -> dict[str, Fitted]:
     loaders = {"LinearRegressionModel": LinearRegressionModel.load,
                "RandomForestRegressionModel": RandomForestRegressionModel.load,
                "Network": lambda path: mlp.Network.load(spark, path)}
+    trials: dict[str, list[dict]] = {}
+    for t in spark.read.schema(_TRIALS).parquet(f"{folder}/grid_results").orderBy(
+            "model", "combo", "fold").collect():
+        trials.setdefault(t["model"], []).append(
+            {k: v for k, v in t.asDict().items() if k != "model"})
     return {r["model"]: Fitted(r["model"], list(r["features"]),
                                loaders[r["kind"]](f"{folder}/{r['model']}"),
-                               json.loads(r["params"]), r["cv_rmse"], r["seconds"])
+                               json.loads(r["params"]), r["cv_rmse"], r["seconds"],
+                               trials.get(r["model"], []))
             for r in spark.read.parquet(f"{folder}/model_runs").collect()}
 
 

@@ -113,14 +113,13 @@ def run_models(spark: SparkSession, out: str, grids: dict | None = None, folds:
                ) -> dict[str, DataFrame]:
     """Phase 4: train, evaluate, compare and diagnose."""
     rows, _, inputs = store.load_split(spark, f"{out}/split")
-    rows = rows.persist()
     train_rows, test_rows = rows.where("split = 'train'"), rows.where("split = 'test'")
     k = folds or train.FOLDS
-    tagged = ordered.contiguous_folds(train_rows, ORDER, k).persist()
+    tagged = durable(ordered.contiguous_folds(train_rows, ORDER, k))
     models = train.train_all(tagged, inputs, TARGET, grids, folds=k)
     train.save_models(spark, models, f"{out}/models")
 
-    predicted = train.predict_all(models, rows).persist()
+    predicted = durable(train.predict_all(models, rows))
     tested = predicted.where("split = 'test'")
     results = {"evaluation": evaluate.evaluate(tested, TARGET),
                "gaps": evaluate.train_test_gap(predicted, TARGET),
@@ -128,22 +127,26 @@ def run_models(spark: SparkSession, out: str, grids: dict | None = None, folds:
                "histogram": evaluate.residual_histogram(tested, TARGET)}
     if len(models) > 1:
         results["comparisons"] = evaluate.compare_models(tested, TARGET, list(models))
-    scored, curves = [], []
-    prefixes, _ = ordered.prefix_rank(train_rows, ORDER, LEARNING_FRACTIONS)
-    prefixes = prefixes.persist()
+    scored, failed, curves = [], [], []
+    prefixes = durable(ordered.prefix_rank(train_rows, ORDER, LEARNING_FRACTIONS)[0])
     for name, m in models.items():
-        if name == "LinearRegression":
-            scored += train.linear_fold_scores(tagged, inputs, TARGET)
+        linear, learner = name == "LinearRegression", train.LEARNERS[name]
+        try:
+            scored += train.linear_fold_scores(tagged, inputs, TARGET) if linear else \
+                train.fold_scores(learner, tagged, inputs, TARGET, name, folds=k, **m.params)
+        except Exception as e:  # one model's folds must not end the phase
+            log.warning("%s: cross-validation failed: %s", name, e)
+            failed.append((name, f"FAILED: {str(e).splitlines()[0] if str(e) else type(e).__name__}"))
+        if linear:
             curves += train.linear_learning_curve(prefixes, test_rows, inputs, TARGET)
             results["coefficients"] = train.coefficient_table(
                 spark, inputs, list(m.model.coefficients), m.model.intercept)
         else:
-            learner = train.LEARNERS[name]
-            scored += train.fold_scores(learner, tagged, inputs, TARGET, name, folds=k, **m.params)
             curves += train.learning_curve(learner, prefixes, test_rows, inputs, TARGET, name,
                                            **m.params)
     results["fold_scores"] = spark.createDataFrame(scored, "model string, fold int, r2 double")
-    results["stability"] = evaluate.cv_stability(results["fold_scores"])
+    results["stability"] = evaluate.with_failures(
+        evaluate.cv_stability(results["fold_scores"]), failed)
     results["learning_curves"] = spark.createDataFrame(
         curves, "model string, fraction double, n bigint, train_r2 double, test_r2 double")
     for name, df in results.items():
@@ -152,8 +155,6 @@ def run_models(spark: SparkSession, out: str, grids: dict | None = None, folds:
     store.write_result(store.summary_report(
         saved["gaps"], saved["stability"], saved.get("coefficients"), saved["normality"]),
         f"{out}/results/summary")
-    for df in (prefixes, predicted, tagged, rows):
-        df.unpersist()
     return saved
 
 
@@ -161,7 +162,7 @@ def run_explain(spark: SparkSession, out: str, repeats: int = PERMUTATION_REPEAT
                 ) -> dict[str, DataFrame]:
     """Phase 5: permutation importance and feature power of every saved model."""
     rows, _, inputs = store.load_split(spark, f"{out}/split")
-    test = ordered.row_index(rows.where("split = 'test'"), ORDER).persist()
+    test = durable(ordered.row_index(rows.where("split = 'test'"), ORDER))
     models = train.load_models(spark, f"{out}/models")
     importance, power = [], []
     for name, m in models.items():
@@ -171,7 +172,6 @@ def run_explain(spark: SparkSession, out: str, repeats: int = PERMUTATION_REPEAT
             test, inputs, TARGET, m.predict, name, repeats=repeats))
     store.write_result(union_by_name(*importance), f"{out}/results/importance_raw")
     store.write_result(union_by_name(*power), f"{out}/results/power_raw")
-    test.unpersist()
     summary = explain.importance_summary(spark.read.parquet(f"{out}/results/importance_raw"))
     store.write_result(summary, f"{out}/results/importance")
     summary = spark.read.parquet(f"{out}/results/importance")
@@ -197,7 +197,9 @@ def run_validation(spark: SparkSession, out: str, appliances: str | None = None,
         if real is not None:
             found = compare.validate_against(features, real, mapping, name)
             parts = [*parts, found] if found is not None else parts
-    results = {"daily": profiles.daily_stats(features)}
+    results = {"daily": profiles.daily_stats(features),
+               "hourly_by_day": profiles.hourly_by_day(features),
+               "day_distribution": profiles.day_distribution(features)}
     if parts:
         results["validation"] = union_by_name(*parts)
     else:
@@ -205,7 +207,10 @@ def run_validation(spark: SparkSession, out: str, appliances: str | None = None,
     for name, df in results.items():
         store.write_result(df, f"{out}/results/{name}")
     saved = {name: spark.read.parquet(f"{out}/results/{name}") for name in results}
-    saved["contrast"] = profiles.weekday_weekend_contrast(saved["daily"])
+    totals = {"contrast": profiles.weekday_weekend_contrast(saved["daily"])}
     if parts:
-        saved["totals"] = compare.validation_totals(saved["validation"])
+        totals["totals"] = compare.validation_totals(saved["validation"])
+    for name, df in totals.items():
+        store.write_result(df, f"{out}/results/{name}")
+        saved[name] = spark.read.parquet(f"{out}/results/{name}")
     return saved
