@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, plain, slices
+from wattloom.llm.texts import map_rows, plain, release, slices
 
 _NONE = np.int64(1 << 60)
 _SHIFT = 28
@@ -200,6 +200,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str,
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, ids], names=[*part.schema.names, "token_ids"])
         bpe.end_task()
+        release()
     return docs.mapInArrow(run, schema)
 
 
@@ -227,5 +228,6 @@ def digests(docs: DataFrame, path: str, pattern: str, runs: str | None = None) -
                         sha256(bpe.decode(ids)).hexdigest())
                        for key, ids in zip(keys[a:b], bpe.encode_all(texts[a:b]), strict=True)]
         bpe.end_task()
+        release()
     return map_rows(docs.select("doc_id", "text"), "doc_id long, n_tokens long, "
                     "ids_sha256 string, decoded_sha256 string", run)

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import mix, raw, stored, word_hashes
+from wattloom.llm.texts import mix, raw, release, stored, word_hashes
 
 LONGEST = 4
 DEPTH = LONGEST - 1
@@ -175,6 +175,7 @@ def _each_shard(docs: DataFrame, schema: str, most: int,
         for lang, shard in _shards(batches, most):
             for columns in rows(lang, shard):
                 yield pa.RecordBatch.from_pydict(columns)
+        release()
     return docs.select(_lang().alias("lang"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 

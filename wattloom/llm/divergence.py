@@ -21,59 +21,109 @@ lang, source and text are not read.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import stored
+from wattloom.llm.texts import raw, stored
 
-_UPPER, _LOWER = (bytes(range(start, start + 26)).decode() for start in (65, 97))
-_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: A-Z in lower case, all other ASCII but a-z as a blank.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32
+              for c in range(256))
 #: Ends the language in a term of the common vocabulary; terms hold no such character.
-_END = "\x00"
+_END = b"\0"
 _SCALE = 1_000_000_000
+#: Terms that a task counts before it passes them on.
+_HELD = 300_000
 
 
-def terms(text: Column) -> Column:
+def terms(text: bytes | None) -> list[bytes]:
     """Runs of letters and characters beyond ASCII; A-Z alone in lower case."""
-    plain = F.octet_length(text) == F.char_length(text)
-    lower = F.when(plain, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-    return F.array_remove(F.split(lower, _BETWEEN), "")
+    return text.translate(_FOLD).split() if text else []
 
 
-def _kept(split: DataFrame, min_df: int) -> DataFrame:
-    """lang and term of the terms in at least `min_df` documents of the language."""
-    return (split.select("lang", F.explode(F.array_distinct("terms")).alias("term"))
-            .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
-            .where(F.col("df") >= min_df).select("lang", "term"))
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256):
+    """lang, source and terms of the texts of a slice of rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield part, raw(part.column(0)), [terms(t) for t in raw(part.column(2))]
+
+
+def _strings(values: list[bytes]) -> pa.Array:
+    return pc.cast(pa.array(values, pa.binary()), pa.string(), safe=False)
 
 
-def vector_counts(split: DataFrame, min_df: int) -> DataFrame:
+def tokens(rows: DataFrame, distinct: bool, named: bool) -> DataFrame:
+    """lang, source and the terms of each text, or each term once; `named` terms begin with
+    their language."""
+    def run(batches):
+        for part, langs, found in _slices(batches):
+            if distinct:
+                found = [set(f) for f in found]
+            if named:
+                found = [[start + t for t in f] for start, f in
+                         zip([lang + _END for lang in langs], found, strict=True)]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            flat = _strings(list(chain.from_iterable(found)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.ListArray.from_arrays(ends, flat)],
+                names=["lang", "source", "terms"])
+    return rows.mapInArrow(run, "lang string, source string, terms array<string>")
+
+
+def _kept(rows: DataFrame, min_df: int) -> DataFrame:
+    """lang and term of the terms in at least `min_df` documents of the language."""
+    def run(batches):
+        held, size = defaultdict(Counter), 0
+
+        def out():
+            for lang, counts in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [_strings([lang] * len(counts)), _strings(list(counts)),
+                     pa.array(list(counts.values()), pa.int64())], names=["lang", "term", "df"])
+            held.clear()
+        for _, langs, found in _slices(batches):
+            for lang, f in zip(langs, found, strict=True):
+                held[lang].update(set(f))
+            size = sum(map(len, held.values()))
+            if size >= _HELD:
+                yield from out()
+        yield from out()
+    return (rows.mapInArrow(run, "lang string, term string, df long").groupBy("lang", "term")
+            .agg(F.sum("df").alias("df")).where(F.col("df") >= min_df).select("lang", "term"))
+
+
+def vector_counts(rows: DataFrame, min_df: int) -> DataFrame:
     """lang, source, term, n from the sparse vectors of a CountVectorizer."""
-    def named(which: Column) -> Column:
-        return F.transform(which, lambda t: F.concat("lang", F.lit(_END), t)).alias("terms")
     # One entry per document and term gives the same document frequencies.
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df),
-                            vocabSize=(1 << 31) - 1).fit(
-        split.select(named(F.array_distinct("terms"))))
-    words = split.sparkSession.createDataFrame(list(enumerate(model.vocabulary)),
-                                               "at int, name string")
+                            vocabSize=(1 << 31) - 1).fit(tokens(rows, True, True))
+    words = rows.sparkSession.createDataFrame(list(enumerate(model.vocabulary)),
+                                              "at int, name string")
     vector = F.unwrap_udt("vector")
-    sums = (model.transform(split.select("lang", "source", named(F.col("terms")))).select(
+    sums = (model.transform(tokens(rows, False, True)).select(
         "lang", "source", F.explode(F.arrays_zip(
-        vector["indices"].alias("at"), vector["values"].alias("n"))).alias("entry"))
+            vector["indices"].alias("at"), vector["values"].alias("n"))).alias("entry"))
         .groupBy("lang", "source", F.col("entry.at").alias("at"))
         .agg(F.sum("entry.n").cast("long").alias("n")))
     # The vocabulary has been counted: it is no larger than `most_terms`.
     return sums.join(F.broadcast(words), "at").select(
-        "lang", "source", F.substring_index("name", _END, -1).alias("term"), "n")
+        "lang", "source", F.substring_index("name", _END.decode(), -1).alias("term"), "n")
 
 
-def shuffled_counts(split: DataFrame, min_df: int) -> DataFrame:
+def shuffled_counts(rows: DataFrame, min_df: int) -> DataFrame:
     """The same with the vocabulary in Spark."""
-    sums = (split.select("lang", "source", F.explode("terms").alias("term"))
+    sums = (tokens(rows, False, False).select("lang", "source", F.explode("terms").alias("term"))
             .groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n")))
-    return sums.join(_kept(split, min_df), ["lang", "term"]).select(
+    return sums.join(_kept(rows, min_df), ["lang", "term"]).select(
         "lang", "source", "term", "n")
 
 
@@ -127,9 +177,8 @@ def _terms_above(counts: DataFrame, totals: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, min_df: int = 10, top: int = 10,
           most_terms: int = 1_000_000) -> DataFrame:
     """lang, source, part (pair or term), item, value and rank; `term` to `top` ranks only."""
-    split = docs.select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
-        terms(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("terms"))
+    split = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+                          for c in ("lang", "source", "text")])
     n_terms = _kept(split, min_df).count()
     counts = stored((vector_counts if 0 < n_terms <= most_terms else shuffled_counts)(
         split, min_df), "counts")

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, mix, raw, stored, window_hashes, word_hashes
+from wattloom.llm.texts import (
+    map_rows, mix, raw, release, stored, window_hashes, word_hashes)
 
 _KEY_BITS = 48
 
@@ -61,6 +62,7 @@ def _arrow(df: DataFrame, schema: str, rows) -> DataFrame:
             texts = raw(batch.column(batch.schema.get_field_index("text")))
             for i in range(0, len(texts), 1000):
                 yield pa.RecordBatch.from_pydict(rows(texts[i:i + 1000]))
+        release()
     return df.select("text").mapInArrow(run, schema)
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, raw
+from wattloom.llm.texts import map_rows, raw, release
 from wattloom.llm.toxicity import sample
 
 TERMS, WIDTH = 1024, 48
@@ -75,6 +75,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
                 if len(t) > 1:
                     np.add.at(near, t[:-1] * TERMS + t[1:], 1)
         _TERMS.clear()
+        release()
         near = near.reshape(TERMS, TERMS)
         near = near + near.T
         summed = near @ index_vectors()
@@ -155,6 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000):
             yield [(y, pool(t, table).tolist()) for t, y in
                    zip(raw(batch.column(0)), batch.column(1).to_pylist(), strict=True)]
         _TERMS.clear()
+        release()
     # At most max_rows short vectors.
     got = sorted(map(tuple, map_rows(rows, "y int, x array<double>", run).collect()))
     if not got:
@@ -182,4 +184,5 @@ def score(docs: DataFrame, model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names, "_score"])
         _TERMS.clear()
+        release()
     return docs.mapInArrow(run, schema)
