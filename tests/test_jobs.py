@@ -70,8 +70,8 @@ def test_message_edges(spark, tmp_path):
     days = {r["date"]: r["count"] for r in
             ingest.stored_readings(spark, out).groupBy("date").count().collect()}
     assert days == {"2024-01-01": 2, "2019-05-05": 1, "unknown": 2}  # duplicates are kept
-    assert spark.read.parquet(f"{out}/quarantine").count() == 2
-    assert sorted(r["status"] for r in spark.read.parquet(f"{out}/status").collect()) == [
+    assert ingest.stored_quarantine(spark, out).count() == 2
+    assert sorted(r["status"] for r in ingest.stored_status(spark, out).collect()) == [
         "complete", "unknown"]
     ingest.ingest(spark, f"{tmp_path}/in", out)  # nothing new: nothing is added
     assert ingest.stored_readings(spark, out).count() == 5
@@ -178,3 +178,33 @@ def test_a_model_whose_folds_fail_gets_a_row(spark):
     assert got["a"]["cv_mean_r2"] == 0.85
     none = evaluate.with_failures(evaluate.cv_stability(scores), [])
     assert none.count() == 1
+
+
+def test_a_batch_run_again_replaces_its_half_written_routes(spark, tmp_path):
+    good = json.dumps({"topic": "home/studio/humidity", "payload": json.dumps(
+        {"timestamp": "2024-01-01T10:00:00", "sensor_type": "humidity", "value": 1})})
+    bad = json.dumps({"topic": "home/studio/humidity", "payload": "{broken"})
+    write(f"{tmp_path}/in/a.json", f"{good}\n{bad}\n")
+    out = f"{tmp_path}/out"
+    assert ingest.stored_totals(spark, out) == {"readings": 0, "quarantine": 0, "status": 0}
+    # What a crash in batch 0 may have left: one route there, the others not.
+    ingest.routed(ingest.decode(spark.createDataFrame(
+        [("home/studio/humidity", bytearray(b"{left over"))], "topic string, payload binary"))).write.partitionBy(
+        "route", "date").parquet(f"{out}/messages/batch=0")
+    rate = ingest.RunningRate()
+    query, = ingest.ingest(spark, f"{tmp_path}/in", out, rate=rate)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 2  # one read of the source
+    assert ingest.stored_totals(spark, out) == {"readings": 1, "quarantine": 1, "status": 0}
+    assert [bytes(r["payload"]) for r in ingest.stored_quarantine(spark, out).collect()] == [b"{broken"]
+    assert rate.totals == ingest.stored_totals(spark, out) and rate.rate > 0
+
+
+def test_running_rate_is_total_over_elapsed():
+    now = [100.0]
+    rate = ingest.RunningRate({"readings": 7}, every=30, clock=lambda: now[0])
+    assert rate.rate == 0.0
+    for seconds, n in ((10, 50), (25, 100), (10, 0), (40, 10)):
+        now[0] += seconds
+        rate.add({"readings": n, "status": 0})
+    assert rate.totals == {"readings": 167, "status": 0} and rate.rate == 160 / 85
+    assert rate.reports == [(150, 35.0, 150 / 35), (160, 85.0, 160 / 85)]

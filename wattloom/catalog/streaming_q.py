@@ -55,7 +55,7 @@ SELECT CASE WHEN second(timestamp)::INT % 2 = 0 THEN '{{not json' ELSE '[1, 2]'
   count(*) AS n FROM long WHERE {_BROKEN} GROUP BY 1"""))
 def st02(spark, sf):
     out = _ingested(spark, sf)
-    rows = spark.read.schema("topic STRING, payload BINARY").parquet(f"{out}/quarantine")
+    rows = ingest.stored_quarantine(spark, out)
     return rows.groupBy(F.col("payload").cast("string").alias("payload")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -86,6 +86,22 @@ def st04(spark, sf):
     return spark.table(name)
 
 
+@query("st04_totals_after_restart", with_(LONG_CTE, f"""
+SELECT CASE WHEN {_BROKEN} THEN 'quarantine' ELSE 'readings' END AS route, count(*) AS n
+FROM long GROUP BY 1 UNION ALL SELECT 'status', 2"""))
+def st04_totals(spark, sf):
+    # Half of the files, then the rest by a new run that starts from the stored totals.
+    folder, out = work_path(spark, "messages"), work_path(spark, "ingested")
+    messages = _messages(spark, sf).withColumn("_half", F.pmod(F.xxhash64("payload"), F.lit(2)))
+    totals = {}
+    for half in (0, 1):
+        messages.where(F.col("_half") == half).drop("_half").write.mode("append").json(folder)
+        rate = ingest.RunningRate(ingest.stored_totals(spark, out))
+        ingest.ingest(spark, folder, out, rate=rate)
+        totals = rate.totals
+    return spark.createDataFrame(sorted(totals.items()), "route string, n long")
+
+
 @query("st05_event_dates", with_(LONG_CTE, f"""
 SELECT strftime(timestamp, '%Y-%m-%d') AS date, count(*) AS n FROM long WHERE NOT ({_BROKEN})
 GROUP BY 1"""))

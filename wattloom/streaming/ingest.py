@@ -5,10 +5,14 @@ All transformations are plain DataFrame functions and work on batch tables too.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
+import time
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +21,7 @@ from wattloom.functions.columns import event_date, half_even, iso_ts, number, se
     step_seconds
 from wattloom.operators.clean import reading_key
 
+log = logging.getLogger(__name__)
 ENVELOPE = "topic STRING, payload BINARY"
 _FIELDS = ["timestamp", "room", "sensor_type", "appliance", "value"]
 _PAYLOAD = (", ".join(f"{f} STRING" for f in [*_FIELDS, "status", "total_messages"])
@@ -118,35 +123,115 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, by: str | None = No
         return writer.start()
 
 
+ROUTES = ("readings", "quarantine", "status")
+_STORED = (ENVELOPE + ", " + ", ".join(f"{f} STRING" for f in [*_FIELDS, "status", "total_messages"])
+           + ", batch BIGINT, route STRING, date STRING")
+
+
+def routed(decoded: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
+    """Every message with the route it takes; readings also with their event date."""
+    route = F.when(F.col("bad"), "quarantine").when(is_status(prefix), "status").otherwise("readings")
+    dated = F.when(F.col("route") == "readings", event_date("timestamp")).otherwise("none")
+    return decoded.withColumn("route", route).withColumn("date", dated).drop("bad")
+
+
+@dataclass
+class RunningRate:
+    """Messages by route, and the rate since the start, logged every `every` seconds.
+
+    The counts come with each batch's own write, so they cost no state and no pass. `totals`
+    may start from what is stored; the rate is that of this run."""
+
+    totals: dict[str, int] = field(default_factory=dict)
+    every: float = 30.0
+    clock: Callable[[], float] = time.monotonic
+    seen: int = 0
+    reports: list[tuple[int, float, float]] = field(default_factory=list)
+
+    def __post_init__(self):
+        self.started = self.reported = self.clock()
+
+    @property
+    def rate(self) -> float:
+        """Messages a second: all of this run over its whole time."""
+        elapsed = self.clock() - self.started
+        return self.seen / elapsed if elapsed > 0 else 0.0
+
+    def add(self, counts: dict[str, int]) -> None:
+        for route, n in counts.items():
+            self.totals[route] = self.totals.get(route, 0) + n
+            self.seen += n
+        now = self.clock()
+        if now - self.reported >= self.every:
+            self.reported = now
+            self.reports.append((self.seen, now - self.started, self.rate))
+            log.info("%d messages in %.0f s, %.1f a second; %s", *self.reports[-1], self.totals)
+
+
 def ingest(spark: SparkSession, source: str, out: str, once: bool = True,
-           files_per_trigger: int | None = None) -> list[StreamingQuery]:
-    """Three tables from one folder of messages: readings by date, quarantine, status."""
+           files_per_trigger: int | None = None,
+           rate: RunningRate | None = None) -> list[StreamingQuery]:
+    """One query from a folder of messages to all routes: the source is read and decoded
+    once, and a batch is one write under its number. A batch that is run again after a crash
+    replaces what it had written, so no route is ahead of another and nothing is doubled."""
     decoded = decode(message_source(spark, source, files_per_trigger))
-    queries = [
-        append_to(readings_of(decoded), f"{out}/readings", f"{out}/_state/readings", "date", once),
-        append_to(quarantine_of(decoded), f"{out}/quarantine", f"{out}/_state/quarantine",
-                  once=once),
-        append_to(status_of(decoded), f"{out}/status", f"{out}/_state/status", once=once),
-    ]
+
+    def write(batch: DataFrame, number_: int) -> None:
+        counted = Observation(f"batch-{number_}")
+        rows = routed(batch)
+        if rate is not None:
+            rows = rows.observe(counted, *[F.count_if(F.col("route") == r).alias(r) for r in ROUTES])
+        rows.write.mode("overwrite").partitionBy("route", "date").parquet(
+            f"{out}/messages/batch={number_}")
+        if rate is not None:
+            rate.add(counted.get)
+    writer = decoded.writeStream.foreachBatch(write).option(
+        "checkpointLocation", f"{out}/_state/messages")
+    query = (writer.trigger(availableNow=True) if once
+             else writer.trigger(processingTime="30 seconds")).start()
     if once:
-        for q in queries:
-            q.awaitTermination()
-    return queries
+        query.awaitTermination()
+    return [query]
+
+
+def stored(spark: SparkSession, out: str, route: str) -> DataFrame:
+    """The ingested messages of a route; other routes' files are not read."""
+    try:
+        rows = spark.read.schema(_STORED).parquet(f"{out}/messages")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], _STORED)
+    return rows.where(F.col("route") == route)
+
+
+def stored_totals(spark: SparkSession, out: str) -> dict[str, int]:
+    """How many messages of each route are stored."""
+    return {r: stored(spark, out, r).count() for r in ROUTES}
 
 
 def stored_readings(spark: SparkSession, out: str) -> DataFrame:
     """The ingested readings; the date is read as text, as it may be 'unknown'."""
-    schema = ", ".join(f"{f} STRING" for f in [*_FIELDS, "date"])
-    return spark.read.schema(schema).parquet(f"{out}/readings")
+    return stored(spark, out, "readings").select(*_FIELDS, "date")
+
+
+def stored_quarantine(spark: SparkSession, out: str) -> DataFrame:
+    return stored(spark, out, "quarantine").select("topic", "payload")
+
+
+def stored_status(spark: SparkSession, out: str) -> DataFrame:
+    """Control messages; a status without a name is 'unknown'."""
+    return stored(spark, out, "status").select(
+        F.coalesce("status", F.lit("unknown")).alias("status"), "timestamp",
+        number("total_messages").cast("bigint").alias("total_messages"))
 
 
 def ingest_completeness(spark: SparkSession, out: str) -> DataFrame:
     """Messages the publisher declared in its last 'complete' status, and those stored."""
-    declared = (spark.read.schema("status STRING, timestamp STRING, total_messages BIGINT")
-                .parquet(f"{out}/status").where("status = 'complete'")
+    declared = (stored_status(spark, out).where("status = 'complete'")
                 .agg(F.max_by("total_messages", "timestamp").alias("declared")))
-    stored = stored_readings(spark, out).agg(F.count(F.lit(1)).alias("stored"))
-    joined = declared.withColumn("_k", F.lit(1)).join(stored.withColumn("_k", F.lit(1)), "_k")
+    kept = stored_readings(spark, out).agg(F.count(F.lit(1)).alias("stored"))
+    joined = declared.withColumn("_k", F.lit(1)).join(kept.withColumn("_k", F.lit(1)), "_k")
     return joined.select("declared", "stored",
                          (F.col("declared") == F.col("stored")).alias("complete"))
 
