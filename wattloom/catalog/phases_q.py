@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattloom.catalog.base import (
-    FEATURES_CTE, KEYS, OFFSET, query, readings, sql_half_even, table,
+    FEATURES_CTE, KEYS, OFFSET, feature_table, query, r6, readings, sql_half_even, table,
     wide_grid, with_)
-from wattloom.catalog.sources_q import _write_csv
-from wattloom.fixed_values import APPLIANCES, ENVIRONMENT
+from wattloom.catalog.models_q import _SPLIT_CTE, MODEL_INPUTS
+from wattloom.catalog.sources_q import _REAL, _appliances_csv, _write_csv
+from wattloom.fixed_values import APPLIANCES, ENVIRONMENT, LEARNING_FRACTIONS
 from wattloom.operators import sweep
+from wattloom.operators.clean import union_by_name
 from wattloom.operators.features import FEATURES
 from wattloom.plans import phases
 from wattloom.session import work_path
+from wattloom.sources import store
 
 _TEXT_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -160,3 +163,96 @@ def k02_mixed_folder(spark, sf):
     _write_csv(wide.where("day BETWEEN 16 AND 22").withColumnRenamed("timestamp", "Unnamed: 0")
                .select("Unnamed: 0", *reversed(KEYS)), raw)
     return phases.run_preprocessing(spark, raw, out)
+
+
+# --- split, models, explanation and validation as jobs ------------------------------
+
+def _with_features(spark, sf):
+    """A job folder that holds the feature table."""
+    out = work_path(spark, "out")
+    store.write_by_date(feature_table(spark, sf), f"{out}/features")
+    return out
+
+
+@query("k03_split_phase", with_(_SPLIT_CTE + f""",
+p AS (SELECT {", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE "
+                        f"stddev_pop({c}) END AS s_{c}" for c in MODEL_INPUTS)}
+  FROM sided WHERE split = 'train')""", f"""
+SELECT split, count(*) AS n, round(sum(total_power), 2) + 0 AS total_power, {", ".join(
+    f"round(avg(({c} - m_{c}) / s_{c}), 6) + 0 AS {c}, "
+    f"round(stddev_pop(({c} - m_{c}) / s_{c}), 6) + 0 AS {c}_std" for c in MODEL_INPUTS)}
+FROM sided, p GROUP BY split"""))
+def k03_split(spark, sf):
+    out = _with_features(spark, sf)
+    phases.run_split(spark, out)
+    rows, _, inputs = store.load_split(spark, f"{out}/split")
+    stats = [c for f in inputs for c in (
+        r6(F.avg(f), f), r6(F.stddev_pop(f), f"{f}_std"))]
+    return rows.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), r6(F.sum("total_power"), "total_power", 2), *stats)
+
+
+#: The target is the sum of eight inputs, so what the jobs must find is known beforehand.
+_KNOWN = ["a perfect fit on both sides", "coefficients of the plugs are their scales",
+          "every other coefficient is zero", "every fold and prefix is scored",
+          "plugs are ranked before all other inputs", "no other input matters",
+          "power and interaction make up the total", "the report names the plugs"]
+
+
+@query("k04_k05_model_and_explain_phases", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{k}', true)" for k in _KNOWN) + ") t(found, holds) WHERE (SELECT count(*) FROM events) > 0")
+def k04_k05(spark, sf):
+    out = _with_features(spark, sf)
+    phases.run_split(spark, out)
+    models = phases.run_models(spark, out, {"LinearRegression": {}})
+    explained = phases.run_explain(spark, out, repeats=5)
+    plug = F.col("feature").startswith("power_")
+    scaler = spark.read.parquet(f"{out}/split/scaler_params")
+    coefficients = models["coefficients"].join(scaler, "feature")
+    ranked, parts = explained["importance"], explained["decomposition"]
+    first = ranked.where(plug).agg(F.max("rank").alias("a")).first()["a"]
+    checks = {
+        _KNOWN[0]: models["gaps"].where("train_r2 < 0.9999 OR test_r2 < 0.9999").isEmpty(),
+        _KNOWN[1]: coefficients.where(plug & (F.abs(F.col("coefficient") - F.col("scale")) > 0.2))
+        .isEmpty() and coefficients.where(plug).count() == 8,
+        _KNOWN[2]: coefficients.where(~plug & (F.abs("coefficient") > 0.2)).isEmpty(),
+        _KNOWN[3]: models["fold_scores"].count() == 5 and models["learning_curves"].count() == len(
+            LEARNING_FRACTIONS),
+        _KNOWN[4]: first == ranked.where(plug).count() == 8 and ranked.count() == 15,
+        _KNOWN[5]: ranked.where(~plug & (F.abs("mean_importance") > 1e-4)).isEmpty(),
+        _KNOWN[6]: parts.where("feature_power_mean < 0 OR interaction_power_mean < 0 OR "
+                               "total_importance_mean > feature_power_mean + "
+                               "interaction_power_mean + 1e-3").isEmpty() and parts.count() == 15,
+        _KNOWN[7]: spark.read.parquet(f"{out}/results/summary").where(
+            "section = 3 AND line LIKE '%appliance power%'").count() == 1}
+    return spark.createDataFrame(list(checks.items()), "found string, holds boolean")
+
+
+@query("k06_validation_phase", with_(FEATURES_CTE, " UNION ALL ".join(
+    f"""SELECT 'validation' AS part, '{c} vs {c}' AS item,
+  {sql_half_even(f"(SELECT avg({c}) FROM features)", 2)} AS ours,
+  {sql_half_even(f"(SELECT avg({x}) FROM lineitem)", 2)} AS theirs""" for c, x in _REAL.items()) + """
+UNION ALL SELECT 'daily', day_of_week::VARCHAR, count(*)::DOUBLE, NULL FROM features
+  GROUP BY day_of_week
+UNION ALL SELECT 'hourly', concat_ws('/', day_of_week, hour), round(avg(total_power), 6) + 0, NULL
+  FROM features GROUP BY day_of_week, hour
+UNION ALL SELECT 'total', coalesce(dataset, 'all'), 4.0, NULL
+  FROM (VALUES ('Appliances'), (NULL)) t(dataset)"""))
+def k06_validation(spark, sf):
+    out = _with_features(spark, sf)
+    phases.run_validation(spark, out, appliances=_appliances_csv(spark, sf))
+    found = {n: spark.read.parquet(f"{out}/results/{n}")
+             for n in ("validation", "daily", "hourly_by_day", "totals")}
+    none = F.lit(None).cast("double")
+
+    def part(name, df, item, ours, theirs=none):
+        return df.select(F.lit(name).alias("part"), item.cast("string").alias("item"),
+                         ours.cast("double").alias("ours"), theirs.alias("theirs"))
+    by_day = found["hourly_by_day"].where("day_of_week IS NOT NULL")
+    return union_by_name(
+        part("validation", found["validation"], F.col("feature"), F.col("emulated_mean"),
+             F.col("real_mean")),
+        part("daily", found["daily"].where("record_count > 0"), F.col("day_number"),
+             F.col("record_count")),
+        part("hourly", by_day, F.concat_ws("/", "day_of_week", "hour"), r6("mean_power")),
+        part("total", found["totals"], F.coalesce("dataset", F.lit("all")), F.col("total")))
