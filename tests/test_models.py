@@ -31,7 +31,7 @@ def test_tail_probabilities():
     for z in (0.5, 0.9999, 1.0001):  # both series agree where they meet
         d = z * math.sqrt(2 / n)
         direct = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * z * z) for k in range(1, 100))
-        assert pvalues.ks_two_sided(d, n, n) == pytest.approx(direct, abs=1e-9)
+        assert pvalues.ks_limit(d * math.sqrt(n / 2)) == pytest.approx(direct, abs=1e-9)
 
 
 def test_shapiro_wilk():
@@ -232,3 +232,23 @@ def test_scores_use_complete_pairs(spark):
     row = evaluate.scores(df).first()
     assert row["n"] == 3 and row["mae"] == pytest.approx(0.5)
     assert row["r2"] == pytest.approx(1 - 1.25 / (np.var([1.0, 2.0, 5.0]) * 3))
+
+
+def test_exact_ks_p_equals_enumeration():
+    from itertools import combinations
+    for n1, n2 in ((1, 1), (2, 3), (3, 7), (5, 5), (6, 6), (4, 8)):
+        gaps = []
+        for first in combinations(range(n1 + n2), n1):
+            i = np.cumsum(np.isin(np.arange(n1 + n2), first))
+            gaps.append(np.abs(i * n2 - (np.arange(1, n1 + n2 + 1) - i) * n1).max())
+        for gap in sorted(set(gaps)):
+            assert pvalues.ks_exact(gap / (n1 * n2), n1, n2) == pytest.approx(
+                np.mean(np.array(gaps) >= gap))
+    assert pvalues.ks_exact(0.0, 5, 5) == 1.0
+    # Beyond the exact sizes the corrected limit goes on from the exact values.
+    for d in (0.01, 0.02, 0.03):
+        exact = pvalues.ks_exact(d, 4000, 10_000)
+        root = math.sqrt(4000 * 10_000 / 14_000)
+        z = root * d
+        assert pvalues.ks_limit(z + 1 / (6 * root) + (z - 1) / (4 * root * root)) == pytest.approx(
+            exact, abs=2e-3)

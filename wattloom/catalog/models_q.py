@@ -644,19 +644,34 @@ def w07(spark, sf):
         "feature", r6("value"), "cum_n0", "cum_n1")
 
 
-_P_KS = ("CASE WHEN z < 0.2 THEN 1 ELSE least(1, greatest(0, 2 * list_sum(list_transform("
-         "range(1, 60), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END)"
-         " * exp(-2 * k * k * z * z))))) END")
-_VALIDATE_CTE = SAMPLES_CTE + f""",
+_LIMIT_KS = ("CASE WHEN z < 0.2 THEN 1 ELSE least(1, greatest(0, 2 * list_sum(list_transform("
+             "range(1, 60), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END)"
+             " * exp(-2 * k * k * z * z))))) END")
+_FAR_KS = "abs((i - 1) * m - (t + 1 - (i - 1)) * s) >= bound"
+_VALIDATE_CTE = "RECURSIVE " + SAMPLES_CTE + f""",
 sided AS (SELECT feature, side, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS std,
   median(value) AS median, min(value) AS lo, max(value) AS hi FROM samples GROUP BY ALL),
-paired AS (SELECT e.feature, e.n AS en, r.n AS rn, e.mean AS em, r.mean AS rm, e.std AS es,
-  r.std AS rs, e.median AS emd, r.median AS rmd, e.lo AS elo, r.lo AS rlo, e.hi AS ehi,
-  r.hi AS rhi, abs(e.mean - r.mean) / abs(r.mean) * 100 AS pct, d,
-  d * sqrt(e.n::DOUBLE * r.n / (e.n + r.n)) AS z
+paired AS MATERIALIZED (SELECT e.feature, e.n AS en, r.n AS rn, e.mean AS em, r.mean AS rm,
+  e.std AS es, r.std AS rs, e.median AS emd, r.median AS rmd, e.lo AS elo, r.lo AS rlo,
+  e.hi AS ehi, r.hi AS rhi, abs(e.mean - r.mean) / abs(r.mean) * 100 AS pct, d,
+  sqrt(round(e.n::DOUBLE * r.n / (e.n + r.n))) AS root
   FROM sided e JOIN sided r ON e.feature = r.feature AND e.side = 'emulated' AND r.side = 'real'
   JOIN ks ON ks.feature = e.feature),
-validated AS (SELECT *, {_P_KS} AS p FROM paired)"""
+walk(feature, s, m, bound, t, p, killed) AS (
+  SELECT feature, least(en, rn), greatest(en, rn), round(d * en * rn)::BIGINT, 0::BIGINT,
+    list_transform(range(least(en, rn) + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0 END),
+    0.0::DOUBLE FROM paired WHERE greatest(en, rn) <= 10000
+  UNION ALL
+  SELECT feature, s, m, bound, t + 1,
+    list_transform(q, lambda x, i: CASE WHEN {_FAR_KS} THEN 0.0 ELSE x END),
+    killed + list_sum(list_transform(q, lambda x, i: CASE WHEN {_FAR_KS} THEN x ELSE 0.0 END))
+  FROM (SELECT *, list_transform(p, lambda x, i: (x * greatest(0, m - (t - (i - 1)))
+      + CASE WHEN i > 1 THEN p[i - 1] * (s - (i - 2)) ELSE 0 END) / (s + m - t)) AS q
+    FROM walk WHERE t < s + m)),
+corrected AS (SELECT *, root * d + 1 / (6 * root) + (root * d - 1) / (4 * root * root) AS z
+  FROM paired),
+validated AS (SELECT corrected.*, CASE WHEN killed IS NULL THEN {_LIMIT_KS} ELSE least(1, killed) END AS p
+  FROM corrected LEFT JOIN walk ON walk.feature = corrected.feature AND t = s + m)"""
 
 
 @query("a15_validate_feature", with_(_VALIDATE_CTE, f"""

@@ -48,7 +48,7 @@ def validate_samples(samples: DataFrame, tolerance: float = TOLERANCE,
 
     Moments come from one aggregation; medians and the KS distance from one
     cumulative table. A feature with an empty side gives no row. Deviations are
-    of the population. `ks_p_value` is asymptotic.
+    of the population.
     """
     keys = list(by)
     if keys == ["feature"]:
