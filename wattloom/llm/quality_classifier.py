@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, raw, release
+from wattloom.llm.texts import map_rows, raw
 from wattloom.llm.toxicity import sample
 
 TERMS, WIDTH = 1024, 48
@@ -35,9 +35,9 @@ _RUNS = re.compile(rb"(.)\1+", re.S)
 
 
 class Terms(dict):
-    """Term number of a word, remembered for up to `limit` words of a task."""
+    """Term number of a word, remembered for up to `limit` words."""
 
-    limit = 100_000
+    limit = 1_000_000
 
     def __missing__(self, word: bytes) -> int:
         shape = _RUNS.sub(rb"\1", word.translate(_CLASS))[:12]
@@ -74,8 +74,6 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
                 t = terms(text)
                 if len(t) > 1:
                     np.add.at(near, t[:-1] * TERMS + t[1:], 1)
-        _TERMS.clear()
-        release()
         near = near.reshape(TERMS, TERMS)
         near = near + near.T
         summed = near @ index_vectors()
@@ -155,8 +153,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000):
         for batch in batches:
             yield [(y, pool(t, table).tolist()) for t, y in
                    zip(raw(batch.column(0)), batch.column(1).to_pylist(), strict=True)]
-        _TERMS.clear()
-        release()
     # At most max_rows short vectors.
     got = sorted(map(tuple, map_rows(rows, "y int, x array<double>", run).collect()))
     if not got:
@@ -183,6 +179,4 @@ def score(docs: DataFrame, model) -> DataFrame:
                                         .reshape(len(texts), table.shape[1]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names, "_score"])
-        _TERMS.clear()
-        release()
     return docs.mapInArrow(run, schema)

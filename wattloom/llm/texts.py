@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -46,15 +45,6 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def release() -> None:
-    """Give back what a task has freed: Python workers go on to tasks of other stages."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except AttributeError:  # a C library without it
-        pass
-
-
 def map_rows(df: DataFrame, schema: T.StructType | str,
              rows: Callable[[Iterator[pa.RecordBatch]], Iterable[list[tuple]]]) -> DataFrame:
     """`mapInArrow` for a function that yields lists of row tuples."""
