@@ -208,3 +208,20 @@ def test_running_rate_is_total_over_elapsed():
         rate.add({"readings": n, "status": 0})
     assert rate.totals == {"readings": 167, "status": 0} and rate.rate == 160 / 85
     assert rate.reports == [(150, 35.0, 150 / 35), (160, 85.0, 160 / 85)]
+
+
+def flat(spark):
+    """Features in which `occupancy_count` never changes and `hour` has a gap."""
+    rows = [(0, 0, 5, 1, 100.0, 1.0, 3.0, 10.0), (1, 0, 5, 0, 200.0, 2.0, 1.0, 20.0),
+            (None, 1, 5, 1, 500.0, 3.0, 2.0, 90.0), (3, 1, 5, 0, 400.0, 5.0, 1.0, 40.0)]
+    return spark.createDataFrame(rows, "hour int, is_weekend int, occupancy_count int, "
+                                 "day_of_week int, total_power double, mean_temperature double, "
+                                 "mean_humidity double, active_appliances double")
+
+
+def test_correlations_of_a_constant_are_null(spark):
+    out = {(r["feature_a"], r["feature_b"]): r["r"]
+           for r in profiles.correlations(flat(spark)).collect()}
+    assert len(out) == 28
+    assert all((r is None) == ("occupancy_count" in pair) for pair, r in out.items())
+    assert out["hour", "total_power"] == pytest.approx(1.0)  # 0, 1, 3 and 100, 200, 400
