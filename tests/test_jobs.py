@@ -225,3 +225,10 @@ def test_correlations_of_a_constant_are_null(spark):
     assert len(out) == 28
     assert all((r is None) == ("occupancy_count" in pair) for pair, r in out.items())
     assert out["hour", "total_power"] == pytest.approx(1.0)  # 0, 1, 3 and 100, 200, 400
+
+
+def test_target_correlation_of_a_constant_is_weak(spark):
+    out = {r["feature"]: r for r in profiles.target_correlations(flat(spark)).collect()}
+    assert len(out) == 7 and out["hour"]["strength"] == "strong"
+    assert out["occupancy_count"]["r"] is None and out["occupancy_count"]["strength"] == "weak"
+    assert all(r["r"] is not None for f, r in out.items() if f != "occupancy_count")
