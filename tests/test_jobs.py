@@ -232,3 +232,13 @@ def test_target_correlation_of_a_constant_is_weak(spark):
     assert len(out) == 7 and out["hour"]["strength"] == "strong"
     assert out["occupancy_count"]["r"] is None and out["occupancy_count"]["strength"] == "weak"
     assert all(r["r"] is not None for f, r in out.items() if f != "occupancy_count")
+
+
+def test_quality_report_of_a_constant_feature(spark):
+    names = [c for c in phases.FEATURES if c not in flat(spark).columns]
+    df = flat(spark).na.fill(0).select(
+        "*", *[F.lit(1.0).alias(c) for c in names],
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, hour)").alias("timestamp"))
+    out = {(r["section"], r["item"]): r["value"] for r in phases.quality_report(df).collect()}
+    assert out["correlation", "occupancy_count"] is None
+    assert out["correlation", "mean_temperature"] > 0 and out["power", "max"] == 500.0
