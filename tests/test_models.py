@@ -252,3 +252,46 @@ def test_exact_ks_p_equals_enumeration():
         z = root * d
         assert pvalues.ks_limit(z + 1 / (6 * root) + (z - 1) / (4 * root * root)) == pytest.approx(
             exact, abs=2e-3)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffled_values_meet_rows_without_a_join(spark):
+    df, _, _ = design(spark, 100)
+    formula = train.LinearFormula([2.0, 0.0], 0.5)
+
+    def predict(rows, column):
+        return rows.withColumn(column, formula.column(["a", "b"]))
+    for step in (explain.permutation_importance, explain.decompose_features):
+        plan = _plan(step(df, ["a", "b"], "y", predict, "m", repeats=50))
+        assert "FlatMapCoGroupsInArrow" in plan
+        assert [word for word in ("MergeJoin", "HashJoin", "lambda") if word in plan] == []
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_partners_over_several_blocks_with_nulls(spark, apart):
+    n, size = 40_000, explain._block_rows(50)
+    assert n > 2 * size
+    df = spark.range(n).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") % 9 != 0, F.col("id") * 1.0).alias("a"),
+        (F.col("id") + 0.5).alias("b"), F.lit(0.0).alias("_base"))
+    made = (explain.independent_partners(df, ["a", "b"], n, 50) if apart else
+            explain.paired_rows(df, ["a", "b"], "b", n, 50))
+    rows = {r["row_id"]: r["other"] for r in made.where("repeat = 49").collect()}
+    at, first = permuted(n, 49), np.arange(n) // 64 * 64
+    second = at[first + (np.arange(n) % 64 + 1) % np.minimum(64, n - first)] if apart else at
+    assert len(rows) == n
+    for i in range(n):
+        assert rows[i] == [None if at[i] % 9 == 0 else float(at[i]), second[i] + 0.5]
+
+
+def test_linear_model_predicts_by_an_expression(spark):
+    df, x, _ = design(spark, 50)
+    model = train.Fitted("LinearRegression", ["a", "b"], train.fit_linear(df, ["a", "b"], "y"))
+    out = model.predict(df, "p")
+    assert "UDF" not in _plan(out) and "array_to_vector" not in _plan(out)
+    want = [r["prediction"] for r in model.model.transform(
+        split.with_vector(df, ["a", "b"], "_features")).orderBy("row_id").collect()]
+    assert [r["p"] for r in out.orderBy("row_id").collect()] == pytest.approx(want)
