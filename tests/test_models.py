@@ -226,6 +226,28 @@ def test_validation_edges(spark):
     assert compare.validate_against(zero, zero, {"nope": "x"}, "d") is None
 
 
+def test_validation_reads_each_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(5, 2, (400, 2)).round(1), rng.normal(6, 1, (300, 2)).round(1)
+    ours, theirs = (spark.createDataFrame(x.tolist(), "x double, z double")
+                    .mapInArrow(seen, "x double, z double") for x in (a, b))
+    got = {r["feature"]: r for r in compare.validate_against(
+        ours, theirs, {"x": "x", "z": "z"}, "d").collect()}
+    assert read.value == 700
+    for j, c in enumerate(("x vs x", "z vs z")):
+        assert (got[c]["emulated_n"], got[c]["real_n"]) == (400, 300)
+        for side, x in (("emulated", a[:, j]), ("real", b[:, j])):
+            want = {"mean": x.mean(), "std": x.std(), "median": np.median(x), "min": x.min(),
+                    "max": x.max()}
+            assert {k: got[c][f"{side}_{k}"] for k in want} == pytest.approx(want, abs=0.0051)
+
+
 def test_scores_use_complete_pairs(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 2.0), (4.0, None), (None, 3.0), (5.0, 4.0)],
                                "y double, pred_m double")

@@ -11,7 +11,9 @@ from wattloom.fixed_values import KS_SIMILAR, KS_VERY_SIMILAR, SIGNIFICANCE, TOL
 from wattloom.functions.columns import bands, half_even
 from wattloom.functions.pvalues import ks_two_sided
 from wattloom.operators.clean import pool, union_by_name
-from wattloom.operators.distribution import ks_distance, ks_table, quantile_at
+from wattloom.operators.distribution import (
+    cumulative_counts, ks_distance, quantile_at, value_counts)
+from wattloom.session import durable
 
 log = logging.getLogger(__name__)
 _SIDES = ("emulated", "real")
@@ -23,15 +25,24 @@ def ks_label(d: str | Column) -> Column:
                  "Substantially different distributions")
 
 
-def paired_samples(emulated: DataFrame, real: DataFrame, feature_map: dict[str, str],
-                   dataset: str) -> DataFrame | None:
-    """Both sides of every mapped feature as (feature, side, value) rows."""
-    parts = []
+def _mapped(emulated: DataFrame, real: DataFrame, feature_map: dict[str, str],
+            dataset: str) -> list[tuple[str, str]]:
+    """The pairs of a feature map that both tables have."""
+    pairs = []
     for ours, theirs in feature_map.items():
         missing = [c for c, df in ((ours, emulated), (theirs, real)) if c not in df.columns]
         if missing:
             log.warning("%s: no column %s, feature skipped", dataset, missing[0])
-            continue
+        else:
+            pairs.append((ours, theirs))
+    return pairs
+
+
+def paired_samples(emulated: DataFrame, real: DataFrame, feature_map: dict[str, str],
+                   dataset: str) -> DataFrame | None:
+    """Both sides of every mapped feature as (feature, side, value) rows."""
+    parts = []
+    for ours, theirs in _mapped(emulated, real, feature_map, dataset):
         a = emulated.select(F.col(ours).cast("double").alias("value"))
         b = real.select(F.col(theirs).cast("double").alias("value"))
         parts.append(pool(a, b, "value", _SIDES).select(
@@ -46,26 +57,39 @@ def validate_samples(samples: DataFrame, tolerance: float = TOLERANCE,
                                             "real_column")) -> DataFrame:
     """One result row per feature from (feature, side, value) rows.
 
-    Moments come from one aggregation; medians and the KS distance from one
-    cumulative table. A feature with an empty side gives no row. Deviations are
-    of the population.
+    The samples are read once, for their value counts; moments, medians and the KS distance
+    come from these. A feature with an empty side gives no row. Deviations are of the
+    population.
     """
     keys = list(by)
     if keys == ["feature"]:
         samples = samples.select("feature", "side", "value")
     tag = F.concat_ws("\u0001", *[F.col(k) for k in keys])
-    tagged = samples.where("value IS NOT NULL").select(tag.alias("_tag"), "side", "value")
-    aggs = []
-    for s in _SIDES:
-        v = F.when(F.col("side") == s, F.col("value"))
-        aggs += [F.count(v).alias(f"{s}_n"), F.avg(v).alias(f"{s}_mean"),
-                 F.stddev_pop(v).alias(f"{s}_std"), F.min(v).alias(f"{s}_min"),
-                 F.max(v).alias(f"{s}_max")]
-    moments = tagged.groupBy("_tag").agg(*aggs)
-    order_stats = ks_table(tagged, "_tag", "side", _SIDES).groupBy("_tag").agg(
-        quantile_at(0.5, "n0").alias("emulated_median"),
-        quantile_at(0.5, "n1").alias("real_median"), ks_distance().alias("ks_statistic"))
-    rows = moments.join(order_stats, "_tag").where("emulated_n > 0 AND real_n > 0")
+    tagged = samples.select(tag.alias("_tag"), "side", "value")
+    counts = {f"n{i}": (F.col("side") == s).cast("long") for i, s in enumerate(_SIDES)}
+    return _validated(value_counts(tagged, ["_tag"], "value", counts), keys, tolerance)
+
+
+def _validated(counted: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+    """The result rows from (_tag, value, n0, n1), the counts of both sides."""
+    table = durable(cumulative_counts(counted, ["_tag"], ["n0", "n1"]))
+    value = F.col("value")
+    sums, aggs = [], []
+    for i, s in enumerate(_SIDES):
+        n, all_n, mean = F.col(f"n{i}"), F.col(f"all_n{i}"), F.col(f"{s}_mean")
+        sums.append((F.sum(F.when(n > 0, value * n)) / F.nullif(F.sum(n), F.lit(0)))
+                    .alias(f"{s}_mean"))
+        off = value - mean
+        aggs += [F.max(all_n).alias(f"{s}_n"), F.max(mean).alias(f"{s}_mean"),
+                 F.sqrt(F.sum(F.when(n > 0, off * off * n)) / F.nullif(F.max(all_n), F.lit(0)))
+                 .alias(f"{s}_std"),
+                 F.min(F.when(n > 0, value)).alias(f"{s}_min"),
+                 F.max(F.when(n > 0, value)).alias(f"{s}_max"),
+                 quantile_at(0.5, f"n{i}").alias(f"{s}_median")]
+    means = table.groupBy("_tag").agg(*sums)
+    rows = (table.join(means, "_tag").groupBy("_tag")
+            .agg(*aggs, ks_distance().alias("ks_statistic"))
+            .where("emulated_n > 0 AND real_n > 0"))
     e, r = F.col("emulated_mean"), F.col("real_mean")
     pct = F.when(r != 0, F.abs(e - r) / F.nullif(F.abs(r), F.lit(0.0)) * 100.0).when(
         e == 0, 0.0).otherwise(100.0)
@@ -84,10 +108,29 @@ def validate_samples(samples: DataFrame, tolerance: float = TOLERANCE,
         ks_label("ks_statistic").alias("ks_result"))
 
 
+def _side_counts(df: DataFrame, columns: list[str], side: int) -> DataFrame:
+    """Counts (pos, value, n0, n1) of all columns of one side, in one scan."""
+    values = F.array(*[F.struct(F.lit(j).alias("pos"), F.col(c).cast("double").alias("value"))
+                       for j, c in enumerate(columns)])
+    tall = df.select(F.explode(values).alias("v")).select("v.*")
+    return value_counts(tall, ["pos"], "value", {
+        f"n{i}": F.lit(int(i == side)).cast("long") for i in range(len(_SIDES))})
+
+
 def validate_against(emulated: DataFrame, real: DataFrame, feature_map: dict[str, str],
                      dataset: str, tolerance: float = TOLERANCE) -> DataFrame | None:
-    samples = paired_samples(emulated, real, feature_map, dataset)
-    return None if samples is None else validate_samples(samples, tolerance)
+    """`validate_samples` for the columns of two tables, each of which is read once for all
+    features together."""
+    pairs = _mapped(emulated, real, feature_map, dataset)
+    if not pairs:
+        return None
+    ours, theirs = (_side_counts(df, [pair[i] for pair in pairs], i)
+                    for i, df in enumerate((emulated, real)))
+    tags = F.array(*[F.lit("\u0001".join([dataset, f"{a} vs {b}", a, b])) for a, b in pairs])
+    counted = ours.unionAll(theirs).groupBy("pos", "value").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).select(
+        F.element_at(tags, F.col("pos") + 1).alias("_tag"), "value", "n0", "n1")
+    return _validated(counted, ["dataset", "feature", "emulated_column", "real_column"], tolerance)
 
 
 def validation_totals(results: DataFrame) -> DataFrame:
