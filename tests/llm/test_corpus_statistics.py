@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from itertools import pairwise
 
@@ -220,3 +221,15 @@ def test_divergence(spark, most_terms):
 
 def test_divergence_of_an_empty_table(spark):
     assert divergence.audit(frame(spark, [])).collect() == []
+
+
+def test_extension_takes_few_bytes_a_word():
+    ids = np.concatenate([[0], np.random.default_rng(5).zipf(1.3, 200_000) % 3000, [0]])
+    index = collocations.FmIndex(ids.astype(np.int32), 3000)
+    single = index.single()
+    single = single.where(single.count >= 30)
+    tracemalloc.start()
+    index.extend(single, True, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 42 * len(ids)

@@ -38,6 +38,7 @@ from wattloom.llm.texts import mix, raw, stored, word_hashes
 
 LONGEST = 4
 DEPTH = LONGEST - 1
+SENT = 1 << 16  # phrases that a task hands over at a time
 _FOLD = bytearray(range(256))
 _FOLD[65:91] = range(97, 123)
 for _end in b".,;:!?\n\x0b\x0c\r":
@@ -92,7 +93,7 @@ def _transform(ids: np.ndarray, n_symbols: int, step: int) -> np.ndarray:
     for k in range(1, DEPTH):
         key *= n_symbols
         key += np.roll(ids, -step * k)
-    return np.roll(ids, step)[np.argsort(key, kind="stable")]
+    return np.roll(ids, step)[np.argsort(key)]  # rows of one context may be in any order
 
 
 class FmIndex:
@@ -116,16 +117,27 @@ class FmIndex:
         symbols = self.forward if left else self.backward
         lows = p.forward if left else p.backward
         starts = np.cumsum(p.count) - p.count
-        rows = np.repeat(lows - starts, p.count) + np.arange(int(p.count.sum()))
-        key = np.repeat(np.arange(len(lows)) * len(self.counts), p.count) + symbols[rows]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        rows = np.repeat((lows - starts).astype(np.int32), p.count)
+        rows += np.arange(len(rows), dtype=np.int32)
+        key = np.repeat(np.arange(len(lows)) * len(self.counts), p.count)
+        key += symbols[rows]
+        if further:
+            order = np.argsort(key)
+            rows, key = rows[order], key[order]
+            del order
+        else:
+            key.sort()
         new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
         count = np.diff(new, append=len(key))
         owner, symbol = np.divmod(key[new], len(self.counts))
+        del key
+        grown = np.zeros_like(new)
+        if further and len(new):
+            grown = self._follow(symbols)[np.minimum.reduceat(rows, new)]
+        del rows
         word = symbol > 0
-        new, count, owner, symbol = new[word], count[word], owner[word], symbol[word]
-        grown = self._follow(symbols)[rows[order[new]]] if further else np.zeros_like(new)
+        new, count, owner, symbol, grown = (
+            x[word] for x in (new, count, owner, symbol, grown))
         # Within the other interval, extensions by smaller symbols come first.
         beside = (p.backward if left else p.forward)[owner] + new - starts[owner]
         parts = (symbol[:, None], p.words[owner]) if left else (p.words[owner], symbol[:, None])
@@ -134,8 +146,11 @@ class FmIndex:
     @staticmethod
     def _follow(symbols: np.ndarray) -> np.ndarray:
         """Row in the same order of the context that starts with a row's symbol."""
-        to = np.empty(len(symbols), np.int64)
-        to[np.argsort(symbols, kind="stable")] = np.arange(len(symbols))
+        n = len(symbols)
+        key = symbols * np.int64(n)
+        key += np.arange(n)
+        to = np.empty(n, np.int32)
+        to[np.argsort(key)] = np.arange(n, dtype=np.int32)
         return to
 
 
@@ -230,11 +245,13 @@ class Search:
     """Phrases of a shard whose parts may be frequent, by length, with the bitmaps so far."""
 
     def __init__(self, lang: bytes, shard: Shard, maps: list[Bitmap]):
-        self.vocabulary = shard.words()
-        self.hashes = _hashes(lang, self.vocabulary)
+        vocabulary = shard.words()
+        self.hashes = _hashes(lang, vocabulary)
+        self.spelled = pa.array(vocabulary, pa.binary())
         self.maps, ids = maps, shard.ids()
         shard.parts.clear()
-        self.index = FmIndex(ids, len(self.vocabulary) + 1)
+        shard.ids_of.clear()
+        self.index = FmIndex(ids, len(vocabulary) + 1)
 
     def _may(self, words: np.ndarray) -> np.ndarray:
         """Whether phrases of a length that has a bitmap may be frequent."""
@@ -257,8 +274,7 @@ class Search:
             yield found
 
     def phrases(self, found: Patterns) -> pa.Array:
-        words = pa.array(self.vocabulary, pa.binary())
-        columns = [words.take(pa.array(c - 1)) for c in found.words.T]
+        columns = [self.spelled.take(pa.array(c - 1)) for c in found.words.T]
         return _strings(pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())))
 
 
@@ -293,9 +309,10 @@ def phrase_counts(docs: DataFrame, least: int = 30, shard_words: int = 1_000_000
             search = Search(lang, shard, maps)
             for found in search.lengths(width):
                 pass
-            if len(found.count):
-                yield {"lang": _repeated(lang, len(found.count)),
-                       "phrase": search.phrases(found), "n": found.count}
+            for at in range(0, len(found.count), SENT):
+                part = found.where(slice(at, at + SENT))
+                yield {"lang": _repeated(lang, len(part.count)),
+                       "phrase": search.phrases(part), "n": part.count}
         counted = _each_shard(docs, "lang string, phrase string, n long", shard_words, counts)
         frequent = stored(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
                           .where(F.col("n") >= least), "phrases")
