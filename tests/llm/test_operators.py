@@ -81,6 +81,19 @@ def test_token_files_round_trip(spark, docs):
     assert all(digest[r.start] == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in rows)
 
 
+def test_runs_are_encoded_as_by_the_library_and_pieces_once():
+    path = P.path("word_bpe_49k.json")
+    table, texts = repair_ids.load(path), [t for _, t in EDGE if t] + [
+        "", " ", "a\tb\u3000c", "x\x1cy \x85z", "e\u0301 \u0301x \ufb01", "don't 'S it'S",
+        "<|endoftext|> a<|endoftext|>b", "Inha, inha. INHA! " + "a" * 100]
+    for _ in range(2):
+        want = table.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert [x.tolist() for x in table.encode_all(texts)] == [e.ids for e in want]
+    before = len(table.pieces)
+    table.encode_all(["Inha,inha;INHA"])
+    assert len(table.pieces) == before + 1  # only the semicolon is new
+
+
 def test_grammar_shrinks_and_expands():
     rng = np.random.default_rng(1)
     ids = np.tile(rng.integers(0, 50, 40), 200)

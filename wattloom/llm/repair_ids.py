@@ -8,8 +8,9 @@ a Parquet data set: rules, their expansion lengths, the compressed sequence, and
 document its place in the sequence and in the ids. One document is decoded from its own part
 of the sequence alone. Spark's writer commits the files, so a lost executor leaves no trace.
 
-The tokenizers library encodes runs between spaces and line feeds, each run once per task
-and remembered in a table of bounded size; the tokenizer must drop white space between words.
+The tokenizers library encodes runs between spaces and line feeds, and each run once as long as
+a table of bounded size remembers it; the tokenizer must drop white space between words. New
+runs are normalized and cut together, and its model reads each piece of them once.
 
 Defined results: null and empty text is the end id alone; a null doc_id comes first; rows
 that repeat a doc_id stand next to each other, ordered by a hash of the text.
@@ -18,9 +19,9 @@ that repeat a doc_id stand next to each other, ordered by a hash of the text.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from array import array
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 from zlib import crc32
 
 import numpy as np
@@ -35,8 +36,16 @@ BLOCK = ("part int, block int, before long, n_tokens long, doc_ids array<long>,
          "rule_tokens binary, sequence binary")
 
 
+def expanded(at: np.ndarray, ids: np.ndarray, ends: np.ndarray):
+    """The ids of the entries `at`, one after the other, and where each one ends."""
+    first = np.concatenate([[0], ends[:-1]])[at]
+    n = ends[at] - first
+    until = np.cumsum(n)
+    return ids[np.repeat(first - until + n, n) + np.arange(until[-1])], until
+
+
 class RunIds(dict):
-    """The ids of a run without white space, remembered up to `limit` runs."""
+    """Numbers of runs without white space, up to `limit` of them, and the ids of each run."""
 
     def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,28 +53,74 @@ class RunIds(dict):
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.same = list(range(self.base))  # one object per id, however many runs hold it
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.clear()
+        self[""] = 0
+        self.pieces = {}
+        self.ids, self.ends = array("i"), array("q", [0])  # of each run, one after the other
+        self.piece_ids, self.piece_ends = array("i"), array("q")
+
+    def _learn(self, runs: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.update(zip(runs, range(len(self.ends), len(self.ends) + len(runs)), strict=True))
+        self.ends.frombytes((len(self.ids) + np.cumsum(sizes)).astype(np.int64).tobytes())
+        self.ids.frombytes(ids.astype(np.int32).tobytes())
 
     def learn(self, runs: list[str]) -> None:
-        """Encode runs that are not in the table, in one call of the library."""
-        for run, found in zip(runs, self.tokenizer.encode_batch_fast(
-                runs, add_special_tokens=False), strict=True):
-            self[run] = tuple(map(self.same.__getitem__, found.ids))
+        """Encode runs that are not in the table. They pass the normalizer and the
+        pre-tokenizer of the library in one text, and its model once for each piece."""
+        tokenizer, pieces = self.tokenizer, None
+        text = "\n".join(runs)
+        together = runs if len(text.split()) == len(runs) and not any(
+            t in text for t in self.added) else [
+                r for r in runs if r.split() == [r] and not any(t in r for t in self.added)]
+        if tokenizer.pre_tokenizer is not None and together:
+            text = " ".join(together)
+            if tokenizer.normalizer is not None:
+                text = tokenizer.normalizer.normalize_str(text)
+            blanks = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), "<u4") == 32)
+            if len(blanks) == len(together) - 1:
+                pieces = tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        if pieces:
+            names, spans = zip(*pieces, strict=True)
+            starts = np.fromiter(chain.from_iterable(spans), np.int64, 2 * len(spans))[::2]
+            model, known = tokenizer.model, self.pieces
+            for name in set(names).difference(known):
+                known[name] = len(self.piece_ends)
+                self.piece_ids.extend([t.id for t in model.tokenize(name)])
+                self.piece_ends.append(len(self.piece_ids))
+            ids, until = expanded(
+                np.fromiter(map(known.__getitem__, names), np.int64, len(names)),
+                np.array(self.piece_ids, np.int32), np.array(self.piece_ends, np.int64))
+            cuts = np.searchsorted(starts, np.append(blanks, len(text)))
+            ends = np.concatenate([[0], until])[cuts]
+            self._learn(together, ids, np.diff(ends, prepend=0))
+            runs = [r for r in runs if r not in self]
+        found = [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        self._learn(runs, np.array(list(chain.from_iterable(found)), np.int32),
+                    np.array(list(map(len, found)), np.int64))
 
-    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; runs that are new among the texts are encoded together."""
-        if len(self) >= self.limit:
-            self.clear()
+        if max(len(self), len(self.pieces), len(self.ids) // 8) >= self.limit:
+            self._forget()
         cut = [text.replace("\n", " ").split(" ") for text in texts]
-        self[""] = ()
-        new = list(set(chain.from_iterable(cut)).difference(self))
+        sizes = list(map(len, cut))
+        runs = list(chain.from_iterable(cut))
+        del cut
+        at = np.fromiter(map(self.get, runs, repeat(-1)), np.int64, len(runs))
+        missing = np.flatnonzero(at < 0).tolist()
+        new = list({runs[k] for k in missing})
         for k in range(0, len(new), 20_000):
             self.learn(new[k:k + 20_000])
-        for runs in cut:
-            yield list(chain.from_iterable(map(self.__getitem__, runs)))
+        at[missing] = [self[runs[k]] for k in missing]
+        ids, until = expanded(at, np.array(self.ids, np.int32), np.array(self.ends, np.int64))
         for run in new:
             if len(run) > 64:
                 del self[run]
+        return np.split(ids, until[np.cumsum(sizes) - 1])[:-1]
 
 
 @lru_cache(maxsize=2)
@@ -97,9 +152,13 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int, rounds: int = 6,
         if not chosen:
             break
         picked = np.sort(np.array(chosen, np.int64))
-        place = np.minimum(np.searchsorted(picked, pair), len(picked) - 1)
-        at = np.flatnonzero(usable & (picked[place] == pair))
-        seq[at] = symbol + place[at]
+        starts, ends = np.zeros(symbol, bool), np.zeros(symbol, bool)
+        starts[picked >> 32] = ends[picked & 0xFFFFFFFF] = True
+        at = np.flatnonzero(starts[seq[:-1]] & ends[seq[1:]] & usable)
+        place = np.minimum(np.searchsorted(picked, pair[at]), len(picked) - 1)
+        same = picked[place] == pair[at]
+        at = at[same]
+        seq[at] = symbol + place[same]
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
@@ -160,7 +219,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
             for a, b in slices(texts):
                 for key, ids in zip(doc_ids[a:b], ids_of.encode_all(texts[a:b]), strict=True):
                     keys.append(key)
-                    parts.append(np.array([*ids, end_id], np.int64))
+                    parts.append(np.append(ids, np.int32(end_id)))
                     held += len(parts[-1])
                     if held >= block_tokens:
                         yield [packed()]
