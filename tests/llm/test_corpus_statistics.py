@@ -219,6 +219,14 @@ def test_divergence(spark, most_terms):
     assert sorted(map(tuple, got.collect())) == brute_audit(rows, 3, 4)
 
 
+def test_vectors_are_summed_per_source_before_they_are_exploded(spark):
+    rows = [(i, "Ab a é  ab1 " * (i % 3), "en" if i % 2 else "", "s") for i in range(300)]
+    got = divergence.tokens(frame(spark, rows).select("lang", "source", "text").coalesce(1), True)
+    assert {(r.lang, r.source): Counter(r.terms) for r in got.collect()} == {
+        (lang, "s"): {f"{lang}\0{t}": n for t, n in (("ab", 300), ("a", 150), ("é", 150))}
+        for lang in ("en", "")} and got.count() == 2
+
+
 def test_divergence_of_an_empty_table(spark):
     assert divergence.audit(frame(spark, [])).collect() == []
 

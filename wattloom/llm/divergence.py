@@ -1,17 +1,18 @@
 """How far the vocabulary of each source is from that of the others of its language.
 
-Terms carry their language, so that one CountVectorizer (minimal document frequency, integer
-vocabulary size at its maximum) is one vocabulary per language and gives every document its
-exact sparse vector. Sums of the vectors per language and source are taken over their
-non-zero entries alone, combined in each task first; a dense sum would cost a vocabulary per
-source and task. Two sources are compared on the entries that either holds: a term that
-neither holds adds a constant, and a term that one holds depends only on its count there, so
-these are summed over the distinct counts of a source, and only terms that both hold are
-joined.
-
-The vocabulary of CountVectorizer is read to the driver and sent to every task. So the kept
-terms are counted before; beyond `most_terms` the same sums come from a shuffle of (language,
-source, term) counts that keeps them in Spark. Both ways give the same rows.
+Terms carry their language, so that one CountVectorizer is one vocabulary per language. It is
+fitted on the terms that are in enough documents, which one scan counts; fitted on the texts it
+would count them once more. Texts of one source that a task reads together give
+one exact sparse vector, the sum of theirs. Sums of the vectors per language and source are
+taken over their non-zero entries alone, combined in each task first; a dense sum would cost a
+vocabulary per source and task. Two sources are compared on the entries that either holds: a
+term that neither holds adds a constant, and a term that one holds depends only on its count
+there, so these are summed over the distinct counts of a source, and only terms that both hold
+are joined.
+
+The vocabulary is read to the driver and sent to every task, if it has at most `most_terms`
+terms; beyond that the same sums come from a shuffle of (language, source, term) counts that
+keeps them in Spark. Both ways give the same rows.
 
 Defined results: null text, language and source are empty strings; rows that repeat each
 count; a source whose texts have no terms is compared like any other; a language without kept
@@ -23,9 +24,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
@@ -61,21 +60,34 @@ def _strings(values: list[bytes]) -> pa.Array:
     return pc.cast(pa.array(values, pa.binary()), pa.string(), safe=False)
 
 
-def tokens(rows: DataFrame, distinct: bool, named: bool) -> DataFrame:
-    """lang, source and the terms of each text, or each term once; `named` terms begin with
-    their language."""
-    def run(batches):
-        for part, langs, found in _slices(batches):
-            if distinct:
-                found = [set(f) for f in found]
+def tokens(rows: DataFrame, named: bool, held: int = 1 << 24) -> DataFrame:
+    """lang, source and the terms of its texts, those of many texts of a source in one row;
+    `named` terms begin with their language. A task holds `held` bytes of text and a batch."""
+    def out(texts):
+        for (lang, source), found in texts.items():
+            flat = pc.ascii_split_whitespace(_strings([b" ".join(found)])).flatten()
             if named:
-                found = [[start + t for t in f] for start, f in
-                         zip([lang + _END for lang in langs], found, strict=True)]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            flat = _strings(list(chain.from_iterable(found)))
+                flat = pc.binary_join_element_wise(
+                    _strings([lang])[0], flat, pa.scalar(_END.decode(), pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.ListArray.from_arrays(ends, flat)],
+                [_strings([lang]), _strings([source]),
+                 pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)],
                 names=["lang", "source", "terms"])
+
+    def run(batches):
+        texts, size = defaultdict(list), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for lang, source, text in zip(*map(raw, part.columns), strict=True):
+                    folded = text.translate(_FOLD).strip() if text else b""
+                    if folded:
+                        texts[lang, source].append(folded)
+                        size += len(folded)
+                if size >= held:
+                    yield from out(texts)
+                    texts, size = defaultdict(list), 0
+        yield from out(texts)
     return rows.mapInArrow(run, "lang string, source string, terms array<string>")
 
 
@@ -101,29 +113,30 @@ def _kept(rows: DataFrame, min_df: int) -> DataFrame:
             .agg(F.sum("df").alias("df")).where(F.col("df") >= min_df).select("lang", "term"))
 
 
-def vector_counts(rows: DataFrame, min_df: int) -> DataFrame:
-    """lang, source, term, n from the sparse vectors of a CountVectorizer."""
-    # One entry per document and term gives the same document frequencies.
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df),
-                            vocabSize=(1 << 31) - 1).fit(tokens(rows, True, True))
-    words = rows.sparkSession.createDataFrame(list(enumerate(model.vocabulary)),
-                                              "at int, name string")
+def vector_counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """lang, source, term, n from the sparse vectors of a CountVectorizer that has the terms of
+    `kept` for its vocabulary."""
+    name = F.concat("lang", F.lit(_END.decode()), "term")
+    model = CountVectorizer(inputCol="terms", outputCol="vector", vocabSize=(1 << 31) - 1).fit(
+        kept.select(F.array(name).alias("terms")))
+    names = model.vocabulary  # no more than `most_terms`
+    words = rows.sparkSession.createDataFrame(pa.table(
+        {"at": pa.array(range(len(names)), pa.int32()), "name": names}))
     vector = F.unwrap_udt("vector")
-    sums = (model.transform(tokens(rows, False, True)).select(
+    sums = (model.transform(tokens(rows, True)).select(
         "lang", "source", F.explode(F.arrays_zip(
             vector["indices"].alias("at"), vector["values"].alias("n"))).alias("entry"))
         .groupBy("lang", "source", F.col("entry.at").alias("at"))
         .agg(F.sum("entry.n").cast("long").alias("n")))
-    # The vocabulary has been counted: it is no larger than `most_terms`.
     return sums.join(F.broadcast(words), "at").select(
         "lang", "source", F.substring_index("name", _END.decode(), -1).alias("term"), "n")
 
 
-def shuffled_counts(rows: DataFrame, min_df: int) -> DataFrame:
+def shuffled_counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
     """The same with the vocabulary in Spark."""
-    sums = (tokens(rows, False, False).select("lang", "source", F.explode("terms").alias("term"))
+    sums = (tokens(rows, False).select("lang", "source", F.explode("terms").alias("term"))
             .groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n")))
-    return sums.join(_kept(rows, min_df), ["lang", "term"]).select(
+    return sums.join(kept, ["lang", "term"]).select(
         "lang", "source", "term", "n")
 
 
@@ -179,9 +192,9 @@ def audit(docs: DataFrame, min_df: int = 10, top: int = 10,
     """lang, source, part (pair or term), item, value and rank; `term` to `top` ranks only."""
     split = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
                           for c in ("lang", "source", "text")])
-    n_terms = _kept(split, min_df).count()
-    counts = stored((vector_counts if 0 < n_terms <= most_terms else shuffled_counts)(
-        split, min_df), "counts")
+    terms_kept = stored(_kept(split, min_df), "vocabulary")
+    few = 0 < terms_kept.count() <= most_terms
+    counts = stored((vector_counts if few else shuffled_counts)(split, terms_kept), "counts")
     kept = counts.select("lang", "term").distinct().groupBy("lang").agg(
         F.count(F.lit(1)).alias("kept"))
     per_source = counts.groupBy("lang", "source").agg(F.sum("n").alias("held"),
