@@ -3,15 +3,19 @@
 import base64
 import hashlib
 import re
+import time
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 from wattloom.llm import (byte_bpe, decontaminate, jaccard_join, line_dedup, quality_classifier,
                           repair_ids, rule_ledger, token_counts, toxicity, warc)
+from wattloom.llm.texts import freed, stored
 from wattloom.session import work_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string"
@@ -105,6 +109,24 @@ def test_grammar_shrinks_and_expands():
     assert (repair_ids.expander(50, rules, lengths)(seq) == ids).all()
 
 
+def test_shuffle_files_of_a_stored_step_are_freed(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {str(f) for d in disk.localDirs() for f in Path(str(d)).glob("*/shuffle_*")}
+    freed(spark)
+    time.sleep(3)
+    before = files()
+    kept = stored(spark.range(1000).groupBy(F.col("id") % 7).count(), "sevenths")
+    assert files() - before
+    freed(spark)
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and kept.count() == 7
+
+
 def _components(rows, size, percent):
     sets = {}
     for key, text in rows:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, mix, raw, stored, window_hashes, word_hashes
+from wattloom.llm.texts import freed, map_rows, mix, raw, stored, window_hashes, word_hashes
 
 _KEY_BITS = 48
 
@@ -193,15 +193,19 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, many: int = 32,
             yield [(d, len(k), signature(k) if len(k) else None)
                    for d, k in zip(batch.column(0).to_pylist(), sets, strict=True)]
     sizes = stored(map_rows(docs, "doc_id long, n int, node long", measured), "sizes")
-    index = stored(_index(docs, size, percent, _common(docs, size, many, demoted)), "index")
+    common = _common(docs, size, many, demoted)
+    freed(docs.sparkSession)
+    index = stored(_index(docs, size, percent, common), "index")
     shared = (index.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"))
               .where("a < b").select("key"))
     entries = stored(index.join(shared, "key").distinct(), "entries")
+    freed(docs.sparkSession)
     first = sizes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     live = entries.select("node").distinct().join(first, "node").select(
         F.col("first").alias("doc_id"))
     sets = stored(_sets(docs.join(live, "doc_id", "left_semi"), size).dropDuplicates(["node"]),
                   "sets")
+    freed(docs.sparkSession)
 
     edges = None
     labelled = entries.withColumn("label", F.col("node"))
@@ -220,11 +224,14 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, many: int = 32,
         found = stored(_verified(pairs, sets, percent), "found")
         if found.isEmpty():
             break
+        freed(docs.sparkSession)
         edges = found if edges is None else edges.union(found)
         labels = components(edges, steps=1)
         labelled = stored(entries.join(labels, "node", "left").select(
             "key", "node", "n", F.coalesce("label", "node").alias("label")), "groups")
-    last = _verified(_pairs_between(labelled, percent), sets, percent)
+        freed(docs.sparkSession)
+    last = stored(_verified(_pairs_between(labelled, percent), sets, percent), "last")
+    freed(docs.sparkSession)
     labels = components(last if edges is None else edges.union(last))
     named = first.join(labels, "node", "left").select(
         "node", "first", F.coalesce("label", "node").alias("label"))

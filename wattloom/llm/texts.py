@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -114,3 +115,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def freed(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps removed now. Spark removes them when the driver
+    happens to collect its garbage, and until then they fill the executors' disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
