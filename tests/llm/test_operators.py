@@ -218,6 +218,31 @@ def test_token_counts_against_plain_dynamic_programming():
         assert trie.count(word) == plain("▁" + word)
 
 
+def test_token_counts_of_many_words_at_once():
+    rng = np.random.default_rng(3)
+    alphabet = list("abcé日")
+    pieces = {"".join(rng.choice(alphabet, rng.integers(1, 5))) for _ in range(60)}
+    scores = {piece: -float(rng.integers(1, 6)) for piece in sorted(pieces) + ["▁", "▁a", "▁ab"]}
+    texts = [["".join(rng.choice([*alphabet, "z"], rng.integers(1, 12))) for _ in range(50)]
+             for _ in range(20)]
+    texts += [[], ["c" * 300, "\U0001F600a", "ab"]]
+    trie = token_counts.ForwardTrie(scores, limit=100)
+
+    def plain(text):
+        best = [(0.0, 0)]
+        for end in range(1, len(text) + 1):
+            size = len(text[end - 1].encode())
+            options = [(best[end - 1][0] + trie.unknown * size, best[end - 1][1] - size)]
+            options += [(best[s][0] + scores[text[s:end]], best[s][1] - 1)
+                        for s in range(end) if text[s:end] in scores]
+            best.append(max(options))
+        return -best[-1][1]
+    expected = [sum(plain("▁" + word) for word in words) for words in texts]
+    assert trie.count_all(texts) == expected
+    assert [trie.count_all([words])[0] for words in texts] == expected
+    assert len(trie.ends) <= 100 + 50  # what is remembered is bounded
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(4)
     words = [f"word{chr(97 + i)}" for i in range(26)]
