@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wattloom.llm import (byte_bpe, decontaminate, jaccard_join, line_dedup, quality_classifier,
                           repair_ids, rule_ledger, token_counts, toxicity, warc)
-from wattloom.llm.texts import freed, stored
+from wattloom.llm.texts import BATCH, freed, map_rows, stored
 from wattloom.session import work_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string"
@@ -243,6 +243,14 @@ def test_token_counts_of_many_words_at_once():
     assert len(trie.ends) <= 100 + 50  # what is remembered is bounded
 
 
+def test_batches_sent_to_python_are_small(spark):
+    def run(batches):
+        for batch in batches:
+            yield [(batch.num_rows,)]
+    sizes = [r[0] for r in map_rows(spark.range(5000).coalesce(1), "n long", run).collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= BATCH
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(4)
     words = [f"word{chr(97 + i)}" for i in range(26)]

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, plain, slices
+from wattloom.llm.texts import map_arrow, map_rows, plain, slices
 
 _NONE = np.int64(1 << 60)
 _SHIFT = 28
@@ -194,7 +194,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str,
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, ids], names=[*part.schema.names, "token_ids"])
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

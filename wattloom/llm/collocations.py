@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import mix, raw, stored, word_hashes
+from wattloom.llm.texts import map_arrow, mix, raw, stored, word_hashes
 
 LONGEST = 4
 DEPTH = LONGEST - 1
@@ -190,7 +190,7 @@ def _each_shard(docs: DataFrame, schema: str, most: int,
         for lang, shard in _shards(batches, most):
             for columns in rows(lang, shard):
                 yield pa.RecordBatch.from_pydict(columns)
-    return docs.select(_lang().alias("lang"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return map_arrow(docs.select(_lang().alias("lang"), F.col("text").cast("string")), run, schema)
 
 
 def _strings(values: pa.Array) -> pa.Array:
@@ -291,7 +291,7 @@ def _names(phrases: DataFrame, width: int) -> DataFrame:
                 found.append(hashes if width == 1 else phrase_hashes(
                     np.arange(1, len(hashes) + 1).reshape(-1, width), hashes))
             yield pa.RecordBatch.from_pydict({"hash": np.concatenate(found).view(np.int64)})
-    return phrases.select("lang", "phrase").mapInArrow(run, "hash long")
+    return map_arrow(phrases.select("lang", "phrase"), run, "hash long")
 
 
 def phrase_counts(docs: DataFrame, least: int = 30, shard_words: int = 1_000_000,

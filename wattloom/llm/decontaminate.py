@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import raw, window_hashes, word_hashes
+from wattloom.llm.texts import map_arrow, raw, window_hashes, word_hashes
 
 _ALNUM = b"0123456789abcdefghijklmnopqrstuvwxyz"
 #: Bytes of words as they are, A-Z in lower case, all other ASCII as a space.
@@ -94,7 +94,7 @@ def mark(docs: DataFrame, items: DataFrame, size: int = 10,
                 columns["_hits"] = pa.array(hits, pa.list_(pa.int32()))
                 columns["_items"] = pa.array(ids, pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
-        out = out.mapInArrow(scan, schema)
+        out = map_arrow(out, scan, schema)
     return out
 
 
@@ -132,4 +132,4 @@ def remove_spans(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame
             columns[at] = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
     whole = F.size("_hits") >= F.greatest(F.col("_words"), F.lit(1))
-    return marked.where(~whole).mapInArrow(run, marked.schema).select(*docs.columns)
+    return map_arrow(marked.where(~whole), run, marked.schema).select(*docs.columns)

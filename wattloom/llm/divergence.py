@@ -31,7 +31,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import raw, stored
+from wattloom.llm.texts import map_arrow, raw, stored
 
 #: A-Z in lower case, all other ASCII but a-z as a blank.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32
@@ -88,7 +88,7 @@ def tokens(rows: DataFrame, named: bool, held: int = 1 << 24) -> DataFrame:
                     yield from out(texts)
                     texts, size = defaultdict(list), 0
         yield from out(texts)
-    return rows.mapInArrow(run, "lang string, source string, terms array<string>")
+    return map_arrow(rows, run, "lang string, source string, terms array<string>")
 
 
 def _kept(rows: DataFrame, min_df: int) -> DataFrame:
@@ -109,7 +109,7 @@ def _kept(rows: DataFrame, min_df: int) -> DataFrame:
             if size >= _HELD:
                 yield from out()
         yield from out()
-    return (rows.mapInArrow(run, "lang string, term string, df long").groupBy("lang", "term")
+    return (map_arrow(rows, run, "lang string, term string, df long").groupBy("lang", "term")
             .agg(F.sum("df").alias("df")).where(F.col("df") >= min_df).select("lang", "term"))
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import freed, map_rows, mix, raw, stored, window_hashes, word_hashes
+from wattloom.llm.texts import freed, map_arrow, map_rows, mix, raw, stored, window_hashes, word_hashes
 
 _KEY_BITS = 48
 
@@ -61,7 +61,7 @@ def _arrow(df: DataFrame, schema: str, rows) -> DataFrame:
             texts = raw(batch.column(batch.schema.get_field_index("text")))
             for i in range(0, len(texts), 1000):
                 yield pa.RecordBatch.from_pydict(rows(texts[i:i + 1000]))
-    return df.select("text").mapInArrow(run, schema)
+    return map_arrow(df.select("text"), run, schema)
 
 
 def _common(docs: DataFrame, size: int, many: int, demoted: int) -> np.ndarray:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import BLANK, raw, stored
+from wattloom.llm.texts import BLANK, map_arrow, raw, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -76,4 +76,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
                       & (F.xxhash64("text") == F.col("_row")), "left").drop("_id", "_row")
     found = found.withColumn("_lines", F.char_length("text").cast("long") + 1
                              - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))))
-    return found.mapInArrow(_kept, found.schema)
+    return map_arrow(found, _kept, found.schema)

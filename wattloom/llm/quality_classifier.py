@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.texts import map_rows, raw
+from wattloom.llm.texts import map_arrow, map_rows, raw
 from wattloom.llm.toxicity import sample
 
 TERMS, WIDTH = 1024, 48
@@ -81,8 +81,8 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict(
             {"term": held.astype(np.int32),
              "sums": pa.array(list(summed[held]), pa.list_(pa.float64()))})
-    sums = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "term int, sums array<double>")
+    sums = map_arrow(docs.select(F.col("text").cast("string").alias("text")), run,
+                     "term int, sums array<double>")
     # TERMS rows of WIDTH numbers, whatever the corpus.
     total = sums.groupBy("term").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(WIDTH)])
                                      .alias("sums")).collect()
@@ -179,4 +179,5 @@ def score(docs: DataFrame, model) -> DataFrame:
                                         .reshape(len(texts), table.shape[1]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names, "_score"])
-    return docs.mapInArrow(run, schema)
+        _TERMS.clear()  # the worker goes on to other steps
+    return map_arrow(docs, run, schema)

@@ -15,6 +15,8 @@ from wattloom.session import work_path
 
 #: The white space of all word rules here: space and the control characters 9 to 13.
 BLANK = " \t\n\x0b\x0c\r"
+#: Rows of the batches that go to Python.
+BATCH = 1000
 
 
 def raw(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
@@ -46,6 +48,14 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: T.StructType | str) -> DataFrame:
+    """`mapInArrow` in batches of at most BATCH rows. Spark's 10,000 rows of text are held several
+    times over, in buffers that double, by the executor and by its Python worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(df: DataFrame, schema: T.StructType | str,
              rows: Callable[[Iterator[pa.RecordBatch]], Iterable[list[tuple]]]) -> DataFrame:
     """`mapInArrow` for a function that yields lists of row tuples."""
@@ -59,7 +69,7 @@ def map_rows(df: DataFrame, schema: T.StructType | str,
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow, strict=True)],
                     schema=arrow)
-    return df.mapInArrow(run, kind)
+    return map_arrow(df, run, kind)
 
 
 class _Powers:
