@@ -201,6 +201,16 @@ def test_decontamination(spark, docs):
     assert none.where("size(_hits) > 0").isEmpty()
 
 
+def test_full_table_of_runs_keeps_what_was_met_early():
+    table = repair_ids.RunIds(P.path("word_bpe_49k.json"), limit=20)
+    texts = ["early words stay", *(" ".join(f"w{k}x{j}" for j in range(9)) for k in range(30))]
+    for text in texts:
+        ids = table.encode_all([text])[0].tolist()
+        assert ids == table.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(table) <= 20 + 9 and len(table.ends) <= 30 and len(table.ids) == table.ends[-1]
+    assert {"early", "words", "stay"} < table.keys()
+
+
 def test_token_counts_against_plain_dynamic_programming():
     scores = {"▁": -3.0, "▁a": -2.0, "ab": -1.5, "b": -2.5, "▁ab": -3.4, "c": -2.0, "bc": -3.0}
     trie = token_counts.ForwardTrie(scores, limit=3)

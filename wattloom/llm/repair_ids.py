@@ -21,7 +21,7 @@ from __future__ import annotations
 import os
 from array import array
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 from zlib import crc32
 
 import numpy as np
@@ -47,7 +47,7 @@ def expanded(at: np.ndarray, ids: np.ndarray, ends: np.ndarray):
 class RunIds(dict):
     """Numbers of runs without white space, up to `limit` of them, and the ids of each run."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         super().__init__()
@@ -63,6 +63,23 @@ class RunIds(dict):
         self.ids, self.ends = array("i"), array("q", [0])  # of each run, one after the other
         self.piece_ids, self.piece_ends = array("i"), array("q")
 
+    def _full(self) -> bool:
+        return max(len(self), len(self.pieces), len(self.ids) // 8) >= self.limit
+
+    def _bound(self) -> None:
+        """Drop the later half of full tables; what is common was met early."""
+        if self._full():
+            kept = dict(islice(self.items(), self.limit // 2))
+            self.clear()
+            self.update(kept)
+            del self.ends[max(kept.values(), default=0) + 1:]
+            del self.ids[self.ends[-1]:]
+            self.pieces = dict(islice(self.pieces.items(), self.limit // 2))
+            del self.piece_ends[len(self.pieces):]
+            del self.piece_ids[self.piece_ends[-1] if self.piece_ends else 0:]
+        if self._full():
+            self._forget()
+
     def _learn(self, runs: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.update(zip(runs, range(len(self.ends), len(self.ends) + len(runs)), strict=True))
         self.ends.frombytes((len(self.ids) + np.cumsum(sizes)).astype(np.int64).tobytes())
@@ -104,8 +121,7 @@ class RunIds(dict):
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; runs that are new among the texts are encoded together."""
-        if max(len(self), len(self.pieces), len(self.ids) // 8) >= self.limit:
-            self._forget()
+        self._bound()
         cut = [text.replace("\n", " ").split(" ") for text in texts]
         sizes = list(map(len, cut))
         runs = list(chain.from_iterable(cut))
